@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from rankloom.functions import scoring as sc
 from rankloom.operators.queries import query_slots, split_queries
 from rankloom.operators.search import (
-    IndexTables, combine_fields, query_hits, term_hits, top_results, weighted_slots,
+    IndexTables, combine_fields, query_hits, query_stats, term_hits, top_results, weighted_slots,
 )
+from rankloom.session import materialise
 
 
 def phrase_starts(entries: Column) -> Column:
@@ -67,7 +68,8 @@ def boolean_search(index: IndexTables, queries: DataFrame,
     """
     split = split_queries(queries)
     slots = query_slots(split, stop_words=False)
-    combined = combine_fields(clause_scores(clause_matches(index, slots, params), params), split)
+    fields = clause_scores(clause_matches(index, slots, params), params)
+    combined = materialise(combine_fields(fields, split).select("query_id", "doc_id", "text"), "scored")
     scored = combined.withColumn("total", F.col("text")).withColumn("rank", F.lit(None).cast("double"))
     best = top_results(scored, params.top_k).withColumn("score", F.col("total").cast("float").cast("string"))
-    return best.select("query_id", "rn", "doc_id", "total", "text", "rank", "score"), query_hits(combined, split)
+    return best.select("query_id", "rn", "doc_id", "total", "text", "rank", "score"), query_hits(query_stats(combined), split)

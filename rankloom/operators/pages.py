@@ -12,7 +12,6 @@ from rankloom.operators.html import Selectors, extract_pieces
 # Last-modified footer, its date pattern, and which links lead to pages.
 EDITED = r"edited on ([^,]*), at ([^.]*)"
 EDITED_FORMAT = "d MMMM yyyy HH:mm"
-STORED_FORMAT = "yyyy-MM-dd HH:mm"
 HOST_PATTERN = "^en.wikipedia.org$"
 PATH_PATTERN = "^/wiki/([^:]*)$"
 

@@ -35,7 +35,7 @@ def robots_rules(lines: DataFrame, agent: str) -> DataFrame:
     named = running_last(parsed, "host", "line_no",
                          F.when(F.col("kind") == "user-agent", jvm_trim(F.col("value"))), "agent")
     rules = named.filter(
-        (F.col("kind") != "user-agent") & F.lit(agent).rlike(agent_pattern(F.col("agent")))
+        (F.col("kind") != "user-agent") & F.rlike(F.lit(agent), agent_pattern(F.col("agent")))
     ).select("host", "line_no", jvm_trim(F.try_url_decode("value")).alias("path_prefix"),
              (F.col("kind") == "allow").alias("allow"))
     return rules.filter(F.col("path_prefix").isNotNull()).groupBy("host", "path_prefix").agg(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rankloom.functions import scoring as sc
 from rankloom.functions.text import CATEGORIES, CONTENT, TITLE
 from rankloom.operators.queries import fields_of_clauses, query_slots, split_queries
+from rankloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -137,23 +138,28 @@ def combine_fields(scored: DataFrame, split: DataFrame, how: str = "both") -> Da
     return kept.withColumn("text", total).drop("needs_category")
 
 
-def query_hits(combined: DataFrame, split: DataFrame) -> DataFrame:
-    """(query_id, hits): documents found before any cut-off, 0 for queries without results."""
-    counted = combined.groupBy("query_id").agg(F.count("*").alias("hits"))
-    return split.select("query_id").join(counted, "query_id", "left").select(
+def query_stats(combined: DataFrame) -> DataFrame:
+    """(query_id, hits, low, high) of the queries with results, before any cut-off."""
+    return combined.groupBy("query_id").agg(
+        F.count("*").alias("hits"), F.min("text").alias("low"), F.max("text").alias("high"))
+
+
+def query_hits(stats: DataFrame, split: DataFrame) -> DataFrame:
+    """(query_id, hits) of all queries, 0 for those without results."""
+    return split.select("query_id").join(stats.select("query_id", "hits"), "query_id", "left").select(
         "query_id", F.coalesce("hits", F.lit(0)).alias("hits")
     )
 
 
-def normalise_text(combined: DataFrame, params: sc.SearchParams = sc.SearchParams()) -> DataFrame:
+def normalise_text(combined: DataFrame, stats: DataFrame, params: sc.SearchParams = sc.SearchParams()) -> DataFrame:
     """Stretch the text scores of every query over [0, 100].
 
     The extremes are aggregated and joined back: a window per query would put all documents of a
     query into one task.
     """
-    extremes = combined.groupBy("query_id").agg(F.min("text").alias("low"), F.max("text").alias("high"))
     stretched = sc.min_max(F.col("text"), F.col("low"), F.col("high"), params.text_scale)
-    return combined.join(extremes, "query_id").withColumn("text", stretched).drop("low", "high")
+    return combined.join(stats.select("query_id", "low", "high"), "query_id").withColumn(
+        "text", stretched).drop("low", "high")
 
 
 def blend_rank(normalised: DataFrame, ranks: DataFrame, n_docs: int, top_rank: float,
@@ -180,18 +186,23 @@ def top_results(scored: DataFrame, k: int = 1000) -> DataFrame:
 
 def search(index: IndexTables, queries: DataFrame, with_rank: bool = False, stemmed: bool = False,
            params: sc.SearchParams = sc.SearchParams()) -> tuple[DataFrame, DataFrame]:
-    """Ranked results (query_id, rn, doc_id, total, text, rank, score) and hit counts (query_id, hits)."""
+    """Ranked results (query_id, rn, doc_id, total, text, rank, score) and hit counts (query_id, hits).
+
+    The scored documents are written once: counts, extremes and ranking each need them, and the
+    optimizer would prune every use differently and score again.
+    """
     split = split_queries(queries)
     slots = query_slots(split, stemmed)
-    combined = combine_fields(field_scores(match_fields(bm25_terms(index, slots, params)), params), split)
-    hits = query_hits(combined, split)
+    fields = field_scores(match_fields(bm25_terms(index, slots, params)), params)
+    combined = materialise(combine_fields(fields, split).select("query_id", "doc_id", "text"), "scored")
+    stats = query_stats(combined)
     if with_rank:
         n_docs = index.field_stats.agg(F.max("n_docs")).first()[0] or 0
         top_rank = index.ranks.agg(F.max("rank")).first()[0] or 0.0
-        scored = blend_rank(normalise_text(combined, params), index.ranks, max(n_docs, 1), top_rank, params)
+        scored = blend_rank(normalise_text(combined, stats, params), index.ranks, max(n_docs, 1), top_rank, params)
         text = sc.score_text(F.col("total"), F.col("text"), F.col("rank"))
     else:
         scored = combined.withColumn("total", F.col("text")).withColumn("rank", F.lit(None).cast("double"))
         text = sc.score_text(F.col("total"))
     best = top_results(scored, params.top_k).withColumn("score", text)
-    return best.select("query_id", "rn", "doc_id", "total", "text", "rank", "score"), hits
+    return best.select("query_id", "rn", "doc_id", "total", "text", "rank", "score"), query_hits(stats, split)

@@ -35,11 +35,11 @@ def _publish_analyzer(posted: DataFrame, stats: DataFrame | None, path: str) ->
     serving.publish(stats if stats is not None else po.standard_field_stats(written), f"{path}/field_stats")
 
 
-def publish_ranks(docs: DataFrame, path: str) -> None:
+def publish_ranks(docs: DataFrame, path: str, epsilon: float = 1e-6) -> None:
     """Write the adjacency of the documents and their ranks."""
     links = materialise(document_links(docs), "links")
     serving.publish(adjacency(links), f"{path}/adjacency")
-    serving.publish(pagerank(links.select("src", "dst")).ranks, f"{path}/page_rank")
+    serving.publish(pagerank(links.select("src", "dst"), epsilon=epsilon).ranks, f"{path}/page_rank")
 
 
 def build_index(pages: DataFrame, path: str, arrival: str | None = None, stem: bool = True,

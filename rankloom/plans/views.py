@@ -26,6 +26,7 @@ HOST_PATTERN = r".*\.example\.(?:com|net|org)"
 PATH_PATTERN = r"^/([^/:]*)$"
 INGEST_TS = "2018-02-01 00:00:00"
 AGENT = "site-crawler"
+DOC_EPSILON = 1e-3  # the document graph is small and loops; a coarser limit saves rounds
 
 _built: dict[tuple[str, str], object] = {}
 
@@ -68,7 +69,7 @@ def index(spark: SparkSession, sf: str, stem: bool = False, with_rank: bool = Fa
 
     built = _once(spark, f"index-{stem}", sf, make)
     if with_rank:
-        _once(spark, f"ranks-{stem}", sf, lambda: publish_ranks(built.table("documents"), built.path))
+        _once(spark, f"ranks-{stem}", sf, lambda: publish_ranks(built.table("documents"), built.path, DOC_EPSILON))
     return built
 
 
@@ -104,14 +105,14 @@ def robots_lines(spark: SparkSession, sf: str) -> DataFrame:
     agent = (F.when(language == "fr", "*").when(language == "de", "other").when(language == "es", "SITE-*")
              .otherwise("site-*"))
     number = F.regexp_extract(urls.path(url), "^/[a-z]+/([0-9])", 1)
-    lines = F.array(
-        F.struct(F.lit(0).alias("n"), F.concat(F.lit("User-agent: "), agent, F.lit(" # page")).alias("line")),
-        F.struct(F.lit(1), F.concat(F.lit(" disallow: /"), language, F.lit("/"), number)),
-        F.struct(F.lit(2), F.concat(F.lit("Allow: /"), language, F.lit("%2F"), F.length(url).cast("string"))),
+    texts = F.array(
+        F.concat(F.lit("User-agent: "), agent, F.lit(" # page")),
+        F.concat(F.lit(" disallow: /"), language, F.lit("/"), number),
+        F.concat(F.lit("Allow: /"), language, F.lit("%2F"), F.length(url).cast("string")),
     )
     return table(spark, sf, "pages").select(
-        urls.host(url).alias("host"), "page_id", F.explode(lines).alias("l")
-    ).select("host", (F.col("page_id") * 3 + F.col("l.n")).alias("line_no"), "l.line")
+        urls.host(url).alias("host"), "page_id", F.posexplode(texts).alias("n", "line")
+    ).select("host", (F.col("page_id") * 3 + F.col("n")).alias("line_no"), "line")
 
 
 def request_log(spark: SparkSession, sf: str) -> DataFrame:

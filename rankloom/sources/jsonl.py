@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DOCUMENTS = T.StructType.fromDDL("id bigint, title string, content string, categories array<string>")
-TITLES = T.StructType.fromDDL("id bigint, title string")
-LINKS = T.StructType.fromDDL("id bigint, links array<bigint>")
+_TEXT, _ID = T.StringType(), T.LongType()
+DOCUMENTS = T.StructType().add("id", _ID).add("title", _TEXT).add("content", _TEXT).add("categories", T.ArrayType(_TEXT))
+TITLES = T.StructType().add("id", _ID).add("title", _TEXT)
+LINKS = T.StructType().add("id", _ID).add("links", T.ArrayType(_ID))
 
 
 def export_documents(docs: DataFrame, path: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +42,12 @@ class Index:
 
     spark: SparkSession
     path: str
+    opened: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self.opened[name]
 
     def search_tables(self, analyzer: str = PRIMARY, with_rank: bool = False) -> IndexTables:
         return IndexTables(

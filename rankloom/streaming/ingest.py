@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,14 +25,7 @@ def page_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    try:
-        return spark.read.schema(with_batch).parquet(path)
-    except AnalysisException as error:
-        # The table folder does not exist before the first batch.
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], with_batch)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
 
 
 def insert_batch(batch: DataFrame, batch_id: int, path: str, arrival: str) -> None:
@@ -55,6 +47,8 @@ def ingest(pages: DataFrame, path: str, checkpoint: str, arrival: str,
            prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Start the stream over all files present; ``prepare`` turns raw input into page rows."""
     rows = prepare(pages) if prepare else pages
+    # An empty folder of its own makes the table readable for the first batch.
+    pages.sparkSession.createDataFrame([], rows.schema).write.mode("append").parquet(f"{path}/{BATCH}=-1")
     observed = rows.observe("arrived", F.count("*").alias("n_arrived"))
     return (
         observed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
