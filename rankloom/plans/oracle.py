@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from rankloom.functions import scoring as sc
 from rankloom.functions import text as tx
+from rankloom.functions import urls
 from rankloom.operators import requests as rq
 from rankloom.plans import views as v
 
@@ -77,6 +78,16 @@ def _query_values() -> str:
 
 _PAGE_STAMP = "'%Y-%m-%d %H:%M'"
 
+
+def _marked(text: str, words: str, tag: str) -> str:
+    """Highlight a column of query words in a text, word after word."""
+    return (rf"list_reduce(list_prepend({text}, {words}), "
+            rf"lambda done, w: regexp_replace(done, '(?i)' || regexp_escape(w), '<{tag}>\0</{tag}>', 'g'))")
+
+
+_LINE = rf"regexp_replace(regexp_replace({_marked('s', 'kw', 'b')}, '\r\n|\r|\n', ' ', 'g'), '[ ]+', ' ', 'g')"
+_PAGE, _CATEGORY = f"'{urls.PAGE_BASE}'", f"'{urls.CATEGORY_BASE}'"
+
 CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_pages": ((), """
         SELECT doc_id AS arrival, trim(split_part(text, chr(10), 1)) AS title,
@@ -235,9 +246,25 @@ CTE |= {
                 max(score) FILTER (field_id = 1) AS content, max(score) FILTER (field_id = 2) AS cat
             FROM std_clause_scores GROUP BY ALL) JOIN split s USING (query_id)
         WHERE title IS NOT NULL AND content IS NOT NULL AND (s.category = '' OR cat IS NOT NULL)"""),
+    "shown": (("paged", "split", "wiki_pages"), f"""
+        SELECT p.*, printf('%.4f', p.total) AS score, w.title AS raw_title, w.content, w.categories AS raw_categories, w.last_modify,
+            {_words('s.keyword')} AS kw, {_words('s.category')} AS cw
+        FROM paged p JOIN split s USING (query_id) JOIN wiki_pages w USING (doc_id)"""),
+    "snippets": (("shown",), rf"""
+        SELECT query_id, doc_id, '... ' || string_agg({_LINE}, ' ... ' ORDER BY best) || ' ...' AS snippet FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id, doc_id ORDER BY list_min(n) * 20 + list_sum(n) DESC, i) AS best FROM (
+                SELECT *, list_transform(kw, lambda w: len(regexp_extract_all(s, '(?i)[ ]+' || regexp_escape(w) || '[ ]+'))) AS n FROM (
+                    SELECT query_id, doc_id, kw, unnest(parts) AS s, generate_subscripts(parts, 1) AS i FROM (
+                        SELECT *, {_without_tail(r"regexp_split_to_array(content, '[,;.\n]')")} AS parts FROM shown))))
+        WHERE best <= 5 GROUP BY query_id, doc_id"""),
+    "shown_rows": (("shown", "snippets"), f"""
+        SELECT query_id, rn, doc_id, {_marked('raw_title', 'kw', 'span')} AS title, raw_title, snippet,
+            list_transform(raw_categories, lambda c: {_marked('c', 'cw', 'b')}) AS categories, raw_categories,
+            strftime(last_modify, {_PAGE_STAMP}) AS last_modify, score, (page + 1)::INTEGER AS page_no, total_pages
+        FROM shown JOIN snippets USING (query_id, doc_id)"""),
     # --- web pages
     "page_links": ((), f"""
-        SELECT page_id, link, regexp_full_match(link, '{_URL}')
+        SELECT page_id, link, i, regexp_full_match(link, '{_URL}')
                 AND regexp_full_match({_url('link', 2)}, '{v.HOST_PATTERN}') AS is_url FROM (
             SELECT page_id, url AS link, 0 AS i FROM pages UNION ALL
             SELECT page_id, {_url('url', 1)} || '://' || {_url('url', 2)} || unnest(hrefs), generate_subscripts(hrefs, 1) FROM (
@@ -289,15 +316,15 @@ def _sql(select: str, *needs: str, extra: dict[str, str] | None = None, recursiv
     return f"WITH {'RECURSIVE ' if recursive else ''}{steps}\n{select}" if steps else select
 
 
-def _rank_sql(select: str, graph: str, rounds: int | None) -> str:
-    """Ranks computed round by round; stops after ``rounds`` or once no node moves by 1e-6."""
+def _rank_sql(select: str, graph: str, rounds: int | None, *needs: str, epsilon: float = 1e-6) -> str:
+    """Ranks computed round by round; stops after ``rounds`` or once no node moves by epsilon."""
     more = f"i < {rounds}" if rounds is not None else "NOT done AND i < 200"
     nodes = _graph_nodes(graph)[1]
     ranked = f"""
         SELECT 0, doc_id, CASE WHEN deg IS NULL THEN 0.0 ELSE 1.0 / n END::DOUBLE, deg, n, false FROM nodes
         UNION ALL
         SELECT i, doc_id, rank, deg, n, max(moved) OVER () = 0 FROM (
-            SELECT i + 1 AS i, doc_id, new AS rank, deg, n, floor(abs(new - old) * (1 / 1e-6)) AS moved FROM (
+            SELECT i + 1 AS i, doc_id, new AS rank, deg, n, floor(abs(new - old) * (1 / {epsilon})) AS moved FROM (
                 SELECT i, doc_id, deg, n, max(rank) AS old, 0.15 / n + 0.85 * sum(share) AS new FROM (
                     SELECT i, doc_id, deg, n, rank, 0.0 AS share FROM ranked WHERE {more}
                     UNION ALL
@@ -306,7 +333,7 @@ def _rank_sql(select: str, graph: str, rounds: int | None) -> str:
                 GROUP BY i, doc_id, deg, n))"""
     extra = {"nodes": nodes, "ranked(i, doc_id, rank, deg, n, done)": ranked,
              "final": "SELECT * FROM ranked WHERE i = (SELECT max(i) FROM ranked)"}
-    return _sql(select, graph, extra=extra, recursive=True)
+    return _sql(select, graph, *needs, extra=extra, recursive=True)
 
 
 def _summary(words: str, name: str) -> str:
@@ -421,6 +448,10 @@ ORACLE: dict[str, str] = {
         ELSE date_trunc('minute', ts) END, '%Y-%m-%d %H:%M:%S') AS last_modify FROM events""",
     "url_normalise": _sql(f"""SELECT DISTINCT page_id, lower({_url('link', 1)}) || '://' || {_url('link', 2)} || {_url('link', 3)}
             || {_url('link', 4)} AS url FROM page_links WHERE is_url AND starts_with({_url('link', 3)}, '/')""", "page_links"),
+    "link_titles": _sql(f"""SELECT DISTINCT page_id, replace(regexp_extract(p, '{v.PATH_PATTERN}', 1), '_', ' ') AS title FROM (
+            SELECT page_id, url_decode(replace({_url('link', 3)}, '+', ' ')) AS p FROM page_links
+            WHERE is_url AND i > 0 AND regexp_matches({_url('link', 3)}, '{v.PATH_PATTERN}'))
+        WHERE regexp_matches(p, '{v.PATH_PATTERN}')""", "page_links"),
     "frontier_bfs": _sql("SELECT node, min(depth)::INTEGER AS depth FROM bfs GROUP BY node", "part_links", recursive=True, extra={
         "bfs(node, depth)": """SELECT min(src), 0 FROM part_links UNION
             SELECT dst, depth + 1 FROM bfs JOIN part_links ON src = node WHERE depth < 4"""}),
@@ -476,6 +507,10 @@ ORACLE: dict[str, str] = {
             WHERE cat IS NOT NULL""", "combined"),
     "hits": _sql("SELECT query_id, hits FROM hit_counts", "hit_counts"),
     "minmax_norm": _sql("SELECT query_id, doc_id, round(text, 6) AS text FROM normalised", "normalised"),
+    "rank_blend": _rank_sql("""SELECT query_id, doc_id, round(text * 0.9 + r * 0.1, 5) AS total, round(text, 5) AS text, round(r, 5) AS rank
+            FROM (SELECT query_id, doc_id, text, coalesce(f.rank, 1.0 / (SELECT count(*) FROM wiki_pages))
+                / (SELECT max(rank) FROM final) * 1000 AS r FROM normalised LEFT JOIN final f USING (doc_id))""",
+            "doc_links", None, "normalised", epsilon=v.DOC_EPSILON),
     "topk": _sql("SELECT query_id, rn::INTEGER AS rn, doc_id, round(total, 6) AS total FROM best WHERE rn <= 10", "best"),
     "score_text": _sql("SELECT query_id, doc_id, printf('%.8f', round(text, 5)) AS score FROM combined", "combined"),
     "phrase_match": _sql("SELECT query_id, clause, field_id, doc_id, phrase_tf FROM phrases", "phrases"),
@@ -488,6 +523,14 @@ ORACLE: dict[str, str] = {
     "highlight": _sql(f"SELECT doc_id, {_highlight('title', 'the an s', 'span')} AS title FROM wiki_pages", "wiki_pages"),
     "sentence_snippet": _sentence_snippet_sql(),
     "paginate": _sql("""SELECT query_id, rn::INTEGER AS rn, doc_id, (page + 1)::INTEGER AS page_no, total_pages FROM paged""", "paged"),
+    "result_page": _sql("""SELECT query_id, rn::INTEGER AS rn, doc_id, title, raw_title, snippet, array_to_string(categories, '|') AS categories,
+            array_to_string(raw_categories, '|') AS raw_categories, last_modify, score FROM shown_rows""", "shown_rows"),
+    "response_json": _sql(f"""SELECT query_id, CASE WHEN hits = 0 THEN '{{"hits":0}}' ELSE to_json({{'hits': hits, 'pages': pages,
+            'pageNo': page_no, 'totalPages': total_pages}})::VARCHAR END AS response FROM hit_counts LEFT JOIN (
+            SELECT query_id, page_no, total_pages, list({{'title': title, 'url': {_PAGE} || replace(raw_title, ' ', '_'), 'snippet': snippet,
+                'categories': {{'html': categories, 'href': list_transform(raw_categories, lambda c: {_CATEGORY} || replace(c, ' ', '_'))}},
+                'lastModify': last_modify, 'score': score}} ORDER BY rn) AS pages FROM shown_rows GROUP BY ALL) USING (query_id)""",
+            "shown_rows", "hit_counts"),
     "request_log": _request_sql(),
     "batch_search": _sql("""SELECT h.query_id, h.hits, 'https://en.wikipedia.org/wiki/' || replace(w.title, ' ', '_') AS first_url,
             total_pages FROM hit_counts h LEFT JOIN (SELECT query_id, min_by(doc_id, rn) AS doc_id,
