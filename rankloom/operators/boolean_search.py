@@ -32,7 +32,7 @@ def clause_matches(index: IndexTables, slots: DataFrame,
     saturation = sc.bm25_saturation(F.col("tf"), F.col("doc_len"), F.col("avg_len"), params)
     scored = hits.withColumn("idf", idf).withColumn("score", idf * saturation)
     grouped = scored.repartition("query_id", "doc_id").groupBy(
-        "query_id", "doc_id", "clause", "field_id", "n_terms", "doc_len", "avg_len"
+        "query_id", "doc_id", "clause", "field_id", "n_terms", "needs_category", "doc_len", "avg_len"
     ).agg(
         F.count("*").alias("n_matched"), F.sum("score").alias("terms_score"), F.sum("idf").alias("phrase_idf"),
         F.array_sort(F.collect_list(F.struct("slot", "positions"))).alias("entries"),
@@ -69,7 +69,7 @@ def boolean_search(index: IndexTables, queries: DataFrame,
     split = split_queries(queries)
     slots = query_slots(split, stop_words=False)
     fields = clause_scores(clause_matches(index, slots, params), params)
-    combined = materialise(combine_fields(fields, split).select("query_id", "doc_id", "text"), "scored")
+    combined = materialise(combine_fields(fields).select("query_id", "doc_id", "text"), "scored")
     scored = combined.withColumn("total", F.col("text")).withColumn("rank", F.lit(None).cast("double"))
     best = top_results(scored, params.top_k).withColumn("score", F.col("total").cast("float").cast("string"))
     return best.select("query_id", "rn", "doc_id", "total", "text", "rank", "score"), query_hits(query_stats(combined), split)

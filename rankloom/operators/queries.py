@@ -26,10 +26,11 @@ def split_queries(queries: DataFrame) -> DataFrame:
 
 
 def query_slots(split: DataFrame, stemmed: bool = False, stop_words: bool = True) -> DataFrame:
-    """(query_id, clause, slot, term, qf, is_first, n_terms, n_distinct): one row per query word.
+    """(query_id, clause, slot, term, qf, is_first, n_terms, n_distinct, needs_category) per query word.
 
     Slots number the kept words from 0; ``qf`` is how often the term occurs in its clause and
-    ``is_first`` marks its first slot.
+    ``is_first`` marks its first slot. ``needs_category`` tells whether the query has a category
+    text, even one of stop words only.
     """
     def kept(column: str):
         words = tx.keyword_words(F.col(column))
@@ -38,20 +39,22 @@ def query_slots(split: DataFrame, stemmed: bool = False, stop_words: bool = True
     clauses = F.explode(F.array(*[
         F.struct(F.lit(clause).alias("clause"), kept(clause).alias("words")) for clause in CLAUSE_FIELDS
     ])).alias("c")
-    by_clause = split.select("query_id", clauses).select("query_id", "c.clause", "c.words")
+    needs = (F.col("category") != "").alias("needs_category")
+    by_clause = split.select("query_id", needs, clauses).select("query_id", "needs_category", "c.clause", "c.words")
     if stemmed:
-        flat = by_clause.select("query_id", "clause", F.posexplode("words").alias("slot", "word"))
+        flat = by_clause.select("query_id", "needs_category", "clause", F.posexplode("words").alias("slot", "word"))
         flat = flat.withColumn("word", stem("word"))
-        by_clause = flat.groupBy("query_id", "clause").agg(
+        by_clause = flat.groupBy("query_id", "needs_category", "clause").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("slot", "word"))), lambda e: e["word"]).alias("words")
         )
     counted = by_clause.withColumn("n_distinct", F.size(F.array_distinct("words")))
-    slots = counted.select("query_id", "clause", "words", "n_distinct", F.posexplode("words").alias("slot", "term"))
+    slots = counted.select("query_id", "needs_category", "clause", "words", "n_distinct",
+                           F.posexplode("words").alias("slot", "term"))
     return slots.select(
         "query_id", "clause", "slot", "term",
         F.expr("size(filter(words, w -> w = term))").alias("qf"),
         (F.array_position("words", F.col("term")) == F.col("slot") + 1).alias("is_first"),
-        F.size("words").alias("n_terms"), "n_distinct",
+        F.size("words").alias("n_terms"), "n_distinct", "needs_category",
     )
 
 

@@ -28,13 +28,20 @@ class IndexTables:
 
 
 def weighted_slots(slots: DataFrame, index: IndexTables) -> DataFrame:
-    """Query words with document frequency and field statistics; words of no document drop out."""
+    """Query words with document frequency and field statistics; words of no document drop out.
+
+    Written before and after the look-up: the planner then knows how small the words are, sends
+    them to the postings instead of shuffling postings, and opens only the folders they need.
+    """
     keys = [c for c in ("bucket", "term", "field_id") if c in index.term_stats.columns]
     wanted = fields_of_clauses(slots)
     if "bucket" in keys:
         wanted = wanted.withColumn("bucket", term_bucket(F.col("term")))
     stats = index.field_stats.select("field_id", "avg_len", "n_docs")
-    return wanted.join(index.term_stats, keys).join(stats, "field_id")
+    # Folders are pruned at run time only for a filtered side, hence the conditions that always hold.
+    written = materialise(wanted, "query-words").filter(F.col("qf") > 0)
+    known = written.join(index.term_stats, keys).join(stats, "field_id")
+    return materialise(known, "query-words")
 
 
 TERM_BUCKETS = 64
@@ -52,7 +59,7 @@ def term_hits(index: IndexTables, weighted: DataFrame) -> DataFrame:
     larger query table falls back to a shuffled join whose frequent terms are split at run time.
     """
     keys = [c for c in ("bucket", "term", "field_id") if c in index.postings.columns and c in weighted.columns]
-    return index.postings.filter(F.col("tf") > 0).join(weighted, keys)
+    return index.postings.filter(F.col("tf") > 0).join(weighted.filter(F.col("df") > 0), keys)
 
 
 def bm25_terms(index: IndexTables, slots: DataFrame, params: sc.SearchParams = sc.SearchParams()) -> DataFrame:
@@ -83,7 +90,7 @@ def match_fields(scored: DataFrame) -> DataFrame:
     positions = F.when(F.col("n_terms") > 1, F.struct("slot", "positions"))
     # (query, document) is the partitioning of this and of every later grouping of the search.
     grouped = scored.repartition("query_id", "doc_id").groupBy(
-        "query_id", "doc_id", "clause", "field_id", "n_terms", "n_distinct", "doc_len"
+        "query_id", "doc_id", "clause", "field_id", "n_terms", "n_distinct", "needs_category", "doc_len"
     ).agg(
         F.sum(F.when(F.col("is_first"), F.col("score"))).alias("raw"),
         F.sum(F.col("is_first").cast("int")).alias("n_matched"),
@@ -115,7 +122,7 @@ def field_scores(matched: DataFrame, params: sc.SearchParams = sc.SearchParams()
     return matched.withColumn("match", match).withColumn("score", F.col("raw") * boost * constant("field"))
 
 
-def combine_fields(scored: DataFrame, split: DataFrame, how: str = "both") -> DataFrame:
+def combine_fields(scored: DataFrame, how: str = "both") -> DataFrame:
     """(query_id, doc_id, title, content, category, text): field scores side by side and summed.
 
     ``how="both"`` keeps documents matched in title and content, ``"either"`` in one of them.
@@ -124,17 +131,14 @@ def combine_fields(scored: DataFrame, split: DataFrame, how: str = "both") -> Da
     def of_field(number: int) -> Column:
         return F.max(F.when(F.col("field_id") == number, F.col("score")))
 
-    wide = scored.groupBy("query_id", "doc_id").agg(
+    wide = scored.groupBy("query_id", "doc_id", "needs_category").agg(
         of_field(TITLE).alias("title"), of_field(CONTENT).alias("content"), of_field(CATEGORIES).alias("category")
     )
-    title, content = F.col("title"), F.col("content")
+    title, content, category = F.col("title"), F.col("content"), F.col("category")
     found = title.isNotNull() & content.isNotNull() if how == "both" else title.isNotNull() | content.isNotNull()
-    needs_category = split.select("query_id", (F.col("category") != "").alias("needs_category"))
-    kept = wide.filter(found).join(needs_category, "query_id").filter(
-        ~F.col("needs_category") | F.col("category").isNotNull()
-    )
+    kept = wide.filter(found & (~F.col("needs_category") | category.isNotNull()))
     none = F.lit(0.0)
-    total = F.coalesce(title, none) + F.coalesce(content, none) + F.coalesce(F.col("category"), none)
+    total = F.coalesce(title, none) + F.coalesce(content, none) + F.coalesce(category, none)
     return kept.withColumn("text", total).drop("needs_category")
 
 
@@ -194,8 +198,8 @@ def search(index: IndexTables, queries: DataFrame, with_rank: bool = False, stem
     split = split_queries(queries)
     slots = query_slots(split, stemmed)
     fields = field_scores(match_fields(bm25_terms(index, slots, params)), params)
-    combined = materialise(combine_fields(fields, split).select("query_id", "doc_id", "text"), "scored")
-    stats = query_stats(combined)
+    combined = materialise(combine_fields(fields).select("query_id", "doc_id", "text"), "scored")
+    stats = materialise(query_stats(combined), "query-stats")
     if with_rank:
         n_docs = index.field_stats.agg(F.max("n_docs")).first()[0] or 0
         top_rank = index.ranks.agg(F.max("rank")).first()[0] or 0.0

@@ -379,6 +379,32 @@ def _request_sql() -> str:
             error FROM checked"""
 
 
+def _html_sql() -> str:
+    """Extraction by patterns; enough for these pages, whose articles hold h1, p, b and br only."""
+    def plain(markup: str) -> str:
+        bare = f"regexp_replace({markup}, '<[^>]*>', '', 'g')"
+        return f"regexp_replace(replace({bare}, '&quot;', '\"'), '&amp;?', '&', 'g')"
+
+    def spaced(text: str) -> str:
+        return rf"trim(regexp_replace({text}, '\s+', ' ', 'g'))"
+
+    return _sql(rf"""
+        SELECT page_id, title, content, categories, '2018-02-01 00:00' AS last_modify, coalesce(out_links, '') AS out_links FROM (
+            SELECT page_id, {spaced(plain("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))} AS title,
+                array_to_string(list_filter(list_transform(
+                    string_split(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>')[2:],
+                    lambda p: {_trim(plain("split_part(p, '</p>', 1)"))}), lambda p: p <> ''), chr(10)) AS content,
+                array_to_string(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>.*?</nav>'), '(?s)<li>(.*?)</li>', 1),
+                    lambda c: {spaced(plain('c'))}), '|') AS categories
+            FROM pages) LEFT JOIN (
+            SELECT page_id, string_agg(title, '|' ORDER BY i) AS out_links FROM (
+                SELECT page_id, replace(regexp_extract(p, '{v.PATH_PATTERN}', 1), '_', ' ') AS title, min(i) AS i FROM (
+                    SELECT page_id, i, url_decode(replace({_url('link', 3)}, '+', ' ')) AS p FROM page_links
+                    WHERE is_url AND i > 0 AND regexp_matches({_url('link', 3)}, '{v.PATH_PATTERN}'))
+                WHERE regexp_matches(p, '{v.PATH_PATTERN}') GROUP BY page_id, title) GROUP BY page_id) USING (page_id)
+        WHERE content <> ''""", "page_links")
+
+
 _SENTENCES = r"regexp_split_to_array(content, '[,;.\n]')"
 
 
@@ -444,6 +470,7 @@ ORACLE: dict[str, str] = {
             WHERE title NOT IN (SELECT title FROM raw_pages WHERE categories[1] = 'src1')
             QUALIFY row_number() OVER (PARTITION BY title ORDER BY arrival) = 1)""", "raw_pages"),
     "page_filter": _sql("SELECT arrival, title FROM raw_pages WHERE content <> ''", "raw_pages"),
+    "html_extract": _html_sql(),
     "last_modified_parse": f"""SELECT event_id, strftime(CASE WHEN event_type = 'error' THEN TIMESTAMP '{v.INGEST_TS}'
         ELSE date_trunc('minute', ts) END, '%Y-%m-%d %H:%M:%S') AS last_modify FROM events""",
     "url_normalise": _sql(f"""SELECT DISTINCT page_id, lower({_url('link', 1)}) || '://' || {_url('link', 2)} || {_url('link', 3)}

@@ -445,7 +445,7 @@ def _fields(spark, sf) -> DataFrame:
 
 
 def _combined(spark, sf) -> DataFrame:
-    return se.combine_fields(_fields(spark, sf), _split(spark))
+    return se.combine_fields(_fields(spark, sf))
 
 
 @query
@@ -495,7 +495,7 @@ def combine_inner(spark, sf):
 @query
 def combine_outer(spark, sf):
     """F10."""
-    either = se.combine_fields(_fields(spark, sf), _split(spark), how="either")
+    either = se.combine_fields(_fields(spark, sf), how="either")
     return either.select("query_id", "doc_id", _r("text").alias("text"))
 
 
