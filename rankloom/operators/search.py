@@ -17,14 +17,24 @@ from rankloom.operators.queries import fields_of_clauses, query_slots, split_que
 from rankloom.session import materialise
 
 
+TERM_BUCKETS = 64
+PUSHED_TERMS = 200
+
+
+def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
+    """Partition folder of a term in written postings."""
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
 @dataclass(frozen=True)
 class IndexTables:
-    """Tables a search reads. ``postings`` may carry a ``bucket`` column of the term."""
+    """Tables a search reads. ``postings`` may carry a ``bucket`` column of the term, out of ``buckets``."""
 
     postings: DataFrame
     term_stats: DataFrame
     field_stats: DataFrame
     ranks: DataFrame | None = None
+    buckets: int = TERM_BUCKETS
 
 
 def weighted_slots(slots: DataFrame, index: IndexTables) -> DataFrame:
@@ -36,7 +46,7 @@ def weighted_slots(slots: DataFrame, index: IndexTables) -> DataFrame:
     keys = [c for c in ("bucket", "term", "field_id") if c in index.term_stats.columns]
     wanted = fields_of_clauses(slots)
     if "bucket" in keys:
-        wanted = wanted.withColumn("bucket", term_bucket(F.col("term")))
+        wanted = wanted.withColumn("bucket", term_bucket(F.col("term"), index.buckets))
     stats = index.field_stats.select("field_id", "avg_len", "n_docs")
     # Folders are pruned at run time only for a filtered side, hence the conditions that always hold.
     written = materialise(wanted, "query-words").filter(F.col("qf") > 0)
@@ -44,22 +54,19 @@ def weighted_slots(slots: DataFrame, index: IndexTables) -> DataFrame:
     return materialise(known, "query-words")
 
 
-TERM_BUCKETS = 64
-
-
-def term_bucket(term: Column) -> Column:
-    """Partition folder of a term in written postings."""
-    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
-
-
 def term_hits(index: IndexTables, weighted: DataFrame) -> DataFrame:
     """Postings of the query words.
 
     No join hint: the small side is broadcast while Spark finds it below its threshold, and a
     larger query table falls back to a shuffled join whose frequent terms are split at run time.
+    A handful of terms is also pushed into the scan, where sorted files skip most row groups.
     """
     keys = [c for c in ("bucket", "term", "field_id") if c in index.postings.columns and c in weighted.columns]
-    return index.postings.filter(F.col("tf") > 0).join(weighted.filter(F.col("df") > 0), keys)
+    postings = index.postings.filter(F.col("tf") > 0)
+    terms = [row.term for row in weighted.select("term").distinct().limit(PUSHED_TERMS + 1).collect()]
+    if 0 < len(terms) <= PUSHED_TERMS:
+        postings = postings.filter(F.col("term").isin(terms))
+    return postings.join(weighted.filter(F.col("df") > 0), keys)
 
 
 def bm25_terms(index: IndexTables, slots: DataFrame, params: sc.SearchParams = sc.SearchParams()) -> DataFrame:

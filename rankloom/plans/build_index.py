@@ -11,6 +11,7 @@ from rankloom.operators.ids import with_dense_index
 from rankloom.operators.links import adjacency, resolve_links
 from rankloom.operators.pagerank import pagerank
 from rankloom.operators.pages import complete_pages
+from rankloom.operators.search import TERM_BUCKETS
 from rankloom.session import materialise
 from rankloom.sources import serving
 
@@ -27,11 +28,11 @@ def document_links(docs: DataFrame) -> DataFrame:
     return resolve_links(docs, docs)
 
 
-def _publish_analyzer(posted: DataFrame, stats: DataFrame | None, path: str) -> None:
+def _publish_analyzer(posted: DataFrame, stats: DataFrame | None, path: str, buckets: int) -> None:
     spark = posted.sparkSession
-    serving.publish_postings(posted, f"{path}/postings")
+    serving.publish_postings(posted, f"{path}/postings", buckets)
     written = spark.read.parquet(f"{path}/postings")
-    serving.publish_term_stats(po.term_stats(written), f"{path}/term_stats")
+    serving.publish_term_stats(po.term_stats(written), f"{path}/term_stats", buckets)
     serving.publish(stats if stats is not None else po.standard_field_stats(written), f"{path}/field_stats")
 
 
@@ -43,13 +44,20 @@ def publish_ranks(docs: DataFrame, path: str, epsilon: float = 1e-6) -> None:
 
 
 def build_index(pages: DataFrame, path: str, arrival: str | None = None, stem: bool = True,
-                standard: bool = True, ranks: bool = True) -> serving.Index:
-    """Write documents, lengths, statistics, postings and ranks under ``path``."""
+                standard: bool = True, ranks: bool = True, term_buckets: int = TERM_BUCKETS,
+                rank_epsilon: float = 1e-6) -> serving.Index:
+    """Write documents, lengths, statistics, postings and ranks under ``path``.
+
+    ``term_buckets`` is the number of folders postings are spread over. A query opens the folders
+    of its terms only, so it should grow with the corpus: a few GB per folder work well.
+    """
+    spark = pages.sparkSession
+    serving.publish(spark.range(1).select(F.lit(term_buckets).alias("term_buckets")), f"{path}/layout")
     docs = serving.publish(numbered_documents(pages, arrival), f"{path}/documents")
     lengths = serving.publish(po.doc_lengths(docs), f"{path}/doc_lengths")
-    _publish_analyzer(po.postings(docs, stem), po.field_stats(lengths), f"{path}/{serving.PRIMARY}")
+    _publish_analyzer(po.postings(docs, stem), po.field_stats(lengths), f"{path}/{serving.PRIMARY}", term_buckets)
     if standard:
-        _publish_analyzer(po.standard_postings(docs), None, f"{path}/{serving.STANDARD}")
+        _publish_analyzer(po.standard_postings(docs), None, f"{path}/{serving.STANDARD}", term_buckets)
     if ranks:
-        publish_ranks(docs, path)
-    return serving.Index(pages.sparkSession, path)
+        publish_ranks(docs, path, rank_epsilon)
+    return serving.Index(spark, path)

@@ -147,9 +147,10 @@ def rank_text_import(spark, sf):
 @query
 def serving_lookup(spark, sf):
     """Statistics of a set of terms from the published tables."""
+    index = v.index(spark, sf)
     keys = qs.query_terms(qs.split_queries(v.queries_table(spark))).select("term")
-    keys = keys.withColumn("bucket", se.term_bucket(F.col("term")))
-    stats = v.index(spark, sf).table("primary/term_stats")
+    keys = keys.withColumn("bucket", se.term_bucket(F.col("term"), index.search_tables().buckets))
+    stats = index.table("primary/term_stats")
     return serving.lookup(stats, keys, "bucket", "term").select("term", "field_id", "df")
 
 

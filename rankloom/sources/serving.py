@@ -7,26 +7,26 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.operators.search import IndexTables, term_bucket
+from rankloom.operators.search import TERM_BUCKETS, IndexTables, term_bucket
 
 PRIMARY, STANDARD = "primary", "standard"
 
 
-def publish_postings(posted: DataFrame, path: str) -> None:
+def publish_postings(posted: DataFrame, path: str, buckets: int = TERM_BUCKETS) -> None:
     """Write postings into folders by term bucket, sorted by term.
 
     Joins on (bucket, term) skip the folders of other buckets (dynamic partition pruning), and
     row groups of other terms by their statistics. Tasks are cut by (bucket, term, document), so
     a term found in a large share of the documents is written by many of them.
     """
-    placed = posted.withColumn("bucket", term_bucket(F.col("term")))
+    placed = posted.withColumn("bucket", term_bucket(F.col("term"), buckets))
     placed = placed.repartitionByRange("bucket", "term", "field_id", "doc_id").sortWithinPartitions(
         "bucket", "term", "field_id", "doc_id")
     placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
-def publish_term_stats(stats: DataFrame, path: str) -> None:
-    placed = stats.withColumn("bucket", term_bucket(F.col("term")))
+def publish_term_stats(stats: DataFrame, path: str, buckets: int = TERM_BUCKETS) -> None:
+    placed = stats.withColumn("bucket", term_bucket(F.col("term"), buckets))
     placed = placed.repartition("bucket").sortWithinPartitions("bucket", "term")
     placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
@@ -38,7 +38,7 @@ def publish(df: DataFrame, path: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Folder holding documents, doc_lengths, page_rank, and postings with statistics per analyzer."""
+    """Folder holding documents, doc_lengths, page_rank, layout, and postings with statistics per analyzer."""
 
     spark: SparkSession
     path: str
@@ -53,6 +53,7 @@ class Index:
         return IndexTables(
             self.table(f"{analyzer}/postings"), self.table(f"{analyzer}/term_stats"),
             self.table(f"{analyzer}/field_stats"), self.table("page_rank") if with_rank else None,
+            self.table("layout").first().term_buckets,
         )
 
 
