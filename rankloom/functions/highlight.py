@@ -21,10 +21,13 @@ def highlight(text: Column, keyword: Column, tag: str) -> Column:
     A later word can match inside a tag an earlier word added.
     """
     marked = F.lit(f"<{tag}>$0</{tag}>")
-    return F.reduce(
-        F.transform(keyword_words(keyword), F.lower), text,
-        lambda done, word: F.regexp_replace(done, F.concat(F.lit("(?i)"), quoted(word)), marked),
-    )
+
+    def wrap(done: Column, word: Column) -> Column:
+        # Most texts lack most words; a substring test saves compiling a pattern for them.
+        found = F.contains(F.lower(done), word)
+        return F.when(found, F.regexp_replace(done, F.concat(F.lit("(?i)"), quoted(word)), marked)).otherwise(done)
+
+    return F.reduce(F.transform(keyword_words(keyword), F.lower), text, wrap)
 
 
 def one_line(text: Column) -> Column:
@@ -33,8 +36,11 @@ def one_line(text: Column) -> Column:
 
 def _sentence_score(sentence: Column, words: Column) -> Column:
     """20 x the rarest word's count plus all counts; counts take the blanks around a word."""
-    counts = F.transform(words, lambda w: F.regexp_count(
-        sentence, F.concat(F.lit("(?i)[ ]+"), quoted(w), F.lit("[ ]+"))))
+    def count(word: Column) -> Column:
+        pattern = F.concat(F.lit("(?i)[ ]+"), quoted(word), F.lit("[ ]+"))
+        return F.when(F.contains(F.lower(sentence), word), F.regexp_count(sentence, pattern)).otherwise(0)
+
+    counts = F.transform(words, count)
     total = F.reduce(counts, F.lit(0), lambda acc, n: acc + n)
     return F.coalesce(F.array_min(counts), F.lit(0)) * 20 + total
 
