@@ -104,8 +104,8 @@ def nearest(
     blocks = max(1, -(-queries.count() // block_rows))
 
     # A cell is a shard with a block of queries; rows of shards and blocks are dealt by hash, so no key can crowd one.
-    own = rows.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"), F.lit(False).alias("asks"))
-    asked = queries.select("vec_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"), F.lit(True).alias("asks"))
+    own = rows.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")).alias("block"), F.lit(False).alias("asks"))
+    asked = queries.select("vec_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")).alias("shard"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"), F.lit(True).alias("asks"))
 
     def cell(frame: pd.DataFrame) -> pd.DataFrame:
         asks = frame["asks"].to_numpy()
