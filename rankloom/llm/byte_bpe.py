@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct matches whose ids a worker remembers; after that it starts anew.
-REMEMBERED = 400_000
+#: Distinct matches whose ids a worker remembers beyond a batch.
+REMEMBERED = 120_000
 
 
 def byte_characters() -> list[str]:
@@ -43,8 +43,18 @@ def merges_of(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
     return merges
 
 
+class _Remembered(dict):
+    """Ids by match; those beyond REMEMBERED are kept for the batch only."""
+
+    def __init__(self):
+        self.batch: dict[str, bytes] = {}
+
+    def __missing__(self, match: str) -> bytes:
+        return self.batch[match]
+
+
 class Encoder:
-    """Ids and character ends of the tokens of each match, by the tokenizers library, remembered by match."""
+    """Ids and character spans of the tokens of each match, by the tokenizers library."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -55,31 +65,45 @@ class Encoder:
         named = byte_characters()
         name = lambda token: "".join(named[b] for b in token)
         self._find = regex.compile(pattern).findall
-        self._model = Tokenizer(BPE({name(t): r for t, r in ranks.items()}, [(name(a), name(b)) for a, b in merges_of(ranks)]))
+        self._model = Tokenizer(BPE({name(t): r for t, r in ranks.items()}, [(name(a), name(b)) for a, b in merges_of(ranks)], cache_capacity=0))
         self._model.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        self._ids: dict[str, np.ndarray] = {}
-        self._ends: dict[str, np.ndarray] = {}
+        self._known = _Remembered()
+
+    def forget(self) -> None:
+        """Start anew where no more can be remembered, as other texts may follow."""
+        if len(self._known) >= REMEMBERED:
+            self._known.clear()
 
     def _learn(self, matches: list[str]) -> None:
-        for match, found in zip(matches, self._model.encode_batch(matches, add_special_tokens=False), strict=True):
-            self._ids[match] = np.array(found.ids, dtype="<u4").tobytes()
-            self._ends[match] = np.array(found.offsets, dtype="<u4").reshape(-1, 2)
+        room = REMEMBERED - len(self._known)
+        for k, (match, found) in enumerate(zip(matches, self._model.encode_batch_fast(matches, add_special_tokens=False), strict=True)):
+            (self._known if k < room else self._known.batch)[match] = np.array(found.ids, dtype="<u4").tobytes()
 
     def __call__(self, texts: list[str], with_offsets: bool) -> Iterator[tuple[bytes, bytes | None]]:
-        if len(self._ids) > REMEMBERED:
-            self._ids.clear()
-            self._ends.clear()
-        for text in texts:
-            matches = self._find(text)
-            new = {m for m in matches if m not in self._ids}
-            if new:
-                self._learn(list(new))
-            ids = b"".join(map(self._ids.__getitem__, matches))
-            spans = None
-            if with_offsets:
-                starts = np.cumsum([0, *map(len, matches)], dtype="<u4")
-                spans = b"".join((self._ends[m] + s).astype("<u4").tobytes() for m, s in zip(matches, starts, strict=False))
-            yield ids, spans
+        split = [self._find(text) for text in texts]
+        self._known.batch = {}
+        self._learn([m for m in set().union(*split) if m not in self._known])
+        for matches in split:
+            yield b"".join(map(self._known.__getitem__, matches)), self._spans(matches) if with_offsets else None
+
+    def _spans(self, matches: list[str]) -> bytes:
+        spans, start = [], 0
+        for match, found in zip(matches, self._model.encode_batch(matches, add_special_tokens=False), strict=True):
+            spans.append((np.array(found.offsets, dtype="<u4").reshape(-1, 2) + np.uint32(start)).astype("<u4").tobytes())
+            start += len(match)
+        return b"".join(spans)
+
+
+_encoders: dict[tuple, Encoder] = {}
+
+
+def _encoder(key: tuple, ranks: dict[bytes, int], pattern: str) -> Encoder:
+    """The encoder of this worker, which is used by one task after another."""
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(ranks, pattern)
+    _encoders[key].forget()
+    return _encoders[key]
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", with_offsets: bool = True) -> DataFrame:
@@ -89,12 +113,13 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", wit
     character (end exclusive) of ``text`` that it has bytes of, so tokens inside one character share its span. A null
     or empty text has no tokens. Columns of these names are replaced; all others are kept, duplicates and ties too.
     """
-    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    known = read_ranks(ranks_path)
+    ranks, key = df.sparkSession.sparkContext.broadcast(known), (ranks_path, len(known), pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value, pattern)
+        encoder = _encoder(key, ranks.value, pattern)
         for big in batches:
-            for batch in (big.slice(k, 256) for k in range(0, big.num_rows, 256)):
+            for batch in (big.slice(k, 128) for k in range(0, big.num_rows, 128)):
                 found = list(encoder([t or "" for t in batch.column("_bpe_text").to_pylist()], with_offsets))
                 columns = [batch.column(k) for k in range(batch.num_columns) if batch.schema.names[k] != "_bpe_text"]
                 yield pa.RecordBatch.from_arrays(
@@ -116,11 +141,12 @@ def decode(df: DataFrame, ranks_path: str) -> DataFrame:
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        named = {c: b for b, c in enumerate(byte_characters())}
-        spelled = {r: "".join(byte_characters()[b] for b in t) for t, r in ranks.value.items()}
+        characters = byte_characters()
+        named = {c: b for b, c in enumerate(characters)}
+        spelled = {r: "".join(characters[b] for b in t) for t, r in ranks.value.items()}
         back = {r: bytes(named[c] for c in token) for r, token in spelled.items()}
         for big in batches:
-            for batch in (big.slice(k, 256) for k in range(0, big.num_rows, 256)):
+            for batch in (big.slice(k, 128) for k in range(0, big.num_rows, 128)):
                 packed = batch.column(batch.schema.get_field_index("token_ids")).to_pylist()
                 whole = [b"".join(map(back.__getitem__, np.frombuffer(p or b"", "<u4").tolist())) for p in packed]
                 yield pa.RecordBatch.from_arrays(
