@@ -32,7 +32,7 @@ from rankloom.llm.common import join_hot, shingle_sets
 from rankloom.llm.components import components
 from rankloom.session import materialise
 
-_TABLE_BITS = 27
+_TABLE_BITS = 26
 _COUNTED = 1 << 20
 #: Shared shingles that a pair must show among the rarest ones of both sets before whole sets are compared.
 _SHOWN = 9
@@ -61,7 +61,7 @@ def subset_sizes(n: int, percent: int) -> range:
 
 
 def shingle_frequencies(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(bit table of shingles in two or more sets, frequent shingles, their counts, mask of what is compared).
+    """(bit table of shingles in two or more sets by part, frequent shingles, their counts, number of parts).
 
     Sets are sent as packed bytes by shingle, 4 bytes each, and counted part by part.
     """
@@ -101,30 +101,32 @@ def shingle_frequencies(docs: DataFrame, width: int) -> tuple[np.ndarray, np.nda
                          "codes": pa.array([codes[top].astype("<u4").tobytes()], pa.binary()), "counts": pa.array([n[top].astype("<u4").tobytes()], pa.binary())})
 
     sent = docs.select("text").mapInArrow(send, "part int, codes binary")
-    rows = sent.groupBy("part").applyInArrow(count, "part int, bits binary, codes binary, counts binary").collect()  # as many rows as parts, of fixed size
-    table = np.zeros((parts, own_bits), bool)
+    rows = sent.groupBy("part").applyInArrow(count, "part int, bits binary, codes binary, counts binary").toLocalIterator()  # as many rows as parts, of fixed size
+    table = np.zeros((parts, own_bits // 8), np.uint8)
     codes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for r in rows:
-        table[r.part] = np.unpackbits(np.frombuffer(r.bits, np.uint8), count=own_bits)
+        table[r.part] = np.frombuffer(r.bits, np.uint8)
         codes.append(np.frombuffer(r.codes, "<u4").astype(np.uint64) * np.uint64(parts) + np.uint64(r.part))
         counts.append(np.frombuffer(r.counts, "<u4").astype(np.int64))
     codes, counts = np.concatenate(codes), np.concatenate(counts)
     order = np.argsort(codes)
-    return np.packbits(table.T.ravel()), codes[order], counts[order], mask
+    return table.ravel(), codes[order], counts[order], parts
 
 
 class _Order:
     """Ranks of shingles, rare first; the same for all sets."""
 
     def __init__(self, frequencies: tuple[np.ndarray, np.ndarray, np.ndarray, int]):
-        self.bits, self.codes, self.counts, self.mask = frequencies
+        self.bits, self.codes, self.counts, self.parts = frequencies
 
     def weights(self, shingles: np.ndarray) -> np.ndarray:
         """0: in one set; 1: in a few; else the number of sets."""
-        at = (shingles & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
+        own_bits = (1 << _TABLE_BITS) // self.parts
+        part = (shingles & np.uint64(self.parts - 1)).astype(np.int64)
+        at = part * own_bits + (shingles // np.uint64(self.parts) & np.uint64(own_bits - 1)).astype(np.int64)
         weight = ((self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(np.int64)
         if len(self.codes):
-            code = shingles & np.uint64(self.mask)
+            code = shingles & np.uint64((self.parts << 32) - 1)
             k = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
             weight = np.where(self.codes[k] == code, self.counts[k], weight)
         return weight
@@ -277,8 +279,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85, long_lis
     doc_id reachable over links. Rows that share a doc_id are rows of their own with their own sets; a row whose doc_id is
     null has the component of its group, or null. ``docs`` is read several times and should be a table.
     """
-    frequencies = shingle_frequencies(docs, width)
-    order = docs.sparkSession.sparkContext.broadcast(_Order(frequencies))
+    order = docs.sparkSession.sparkContext.broadcast(_Order(shingle_frequencies(docs, width)))
     rows = materialise(shingle_rows(docs, width, percent, order), "shingles")
     filled = rows.filter("n > 0")
     nodes = materialise(filled.groupBy("digest").agg(
@@ -338,5 +339,6 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85, long_lis
     named = join_hot(node_of.select("digest", "component"), smallest, ["component"], "nodes").select("digest", "component_id")
     copies = filled.groupBy("digest").agg(F.count("*").alias("copies"))
     named = materialise(named.join(copies, "digest"), "named")
+    order.destroy()  # all that needs it is written
     linked = join_hot(filled.select("doc_id", "n", "digest"), named, ["digest"], "copies").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return linked.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
