@@ -80,7 +80,7 @@ ORACLE: dict[str, str] = {
     "op7_warc_revisits": """
         SELECT page_id, url, payload_bytes, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to,
-               list_aggregate(list_transform(range(32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                    1 + ((CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS INT)) & 31), 1)), 'string_agg', '') AS payload_digest
         FROM (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h,
                      min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)""",
