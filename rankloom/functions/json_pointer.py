@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import product
+from collections.abc import Callable
 from urllib.parse import unquote_plus
 
 from pyspark.sql import Column
@@ -22,20 +22,22 @@ def pointer_tokens(pointer: str) -> list[str]:
     return [step.replace("~1", "/").replace("~0", "~") for step in steps.split("/")]
 
 
-def _paths(tokens: list[str]) -> list[str]:
-    """JSON paths of a pointer; a number may be an array index or a member name."""
-    choices = []
-    for token in tokens:
-        if "'" in token:
-            raise ValueError("member names with an apostrophe are not supported")
-        member = f"['{token}']"
-        choices.append([f"[{token}]", member] if token.isdecimal() else [member])
-    return ["$" + "".join(steps) for steps in product(*choices)]
+def _step(value: Column, token: str) -> Column:
+    """What ``token`` leads to from a JSON text: a member, or an element where the text is an array."""
+    member = F.try_element_at(F.from_json(value, "map<string,string>"), F.lit(token))
+    if not (token == "0" or token.isdecimal() and token.isascii() and token[0] != "0" and len(token) < 10):
+        return member
+    return F.coalesce(F.get(F.from_json(value, "array<string>"), F.lit(int(token))), member)
+
+
+def _stepper(token: str) -> Callable[[Column], Column]:
+    return lambda text: _step(text, token)
 
 
 def json_pointer(document: Column, pointer: str) -> Column:
-    """Value a pointer leads to, as text; NULL where there is none."""
-    tokens = pointer_tokens(pointer)
-    if not tokens:
-        return document
-    return F.coalesce(*[F.get_json_object(document, path) for path in _paths(tokens)])
+    """Value a pointer leads to, as text; NULL where there is none. Any member name may be a step."""
+    value = document
+    for token in pointer_tokens(pointer):
+        # Bound by a lambda, so that a step that looks twice doesn't double all before it.
+        value = F.get(F.transform(F.array(value), _stepper(token)), F.lit(0))
+    return value

@@ -41,8 +41,6 @@ def expand_frontier(links: DataFrame, entries: DataFrame, max_depth: int = 10,
     return visited
 
 
-def page_budget(visited: DataFrame, budget: int, in_one_task: int = 100_000) -> DataFrame:
+def page_budget(visited: DataFrame, budget: int) -> DataFrame:
     """First ``budget`` nodes by depth, then node."""
-    if budget <= in_one_task:
-        return visited.orderBy("depth", "node").limit(budget)
     return first_rows(visited, ["depth", "node"], budget)

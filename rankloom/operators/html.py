@@ -187,15 +187,28 @@ def extract_page(html: str, url: str, selectors: Selectors) -> dict:
     }
 
 
-PIECES = "title string, blocks array<string>, categories array<string>, footer string, links array<string>"
+PIECES = "title string, blocks array<string>, categories array<string>, footer string, links array<string>, error string"
+
+
+_NOTHING = dict.fromkeys(("title", "blocks", "categories", "footer", "links"))
+
+
+def _page_or_error(html: str | None, url: str | None, selectors: Selectors) -> dict:
+    """Pieces of a page, or nothing but the reason where it can't be read."""
+    if html is None:
+        return _NOTHING | {"error": "no page"}
+    try:
+        return extract_page(html, url or "", selectors) | {"error": None}
+    except (AssertionError, ValueError, RecursionError) as error:  # broken markup ends the page, not the job
+        return _NOTHING | {"error": f"{type(error).__name__}: {error}"}
 
 
 def extract_pieces(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFrame:
-    """(page_id, url) plus raw title, blocks, categories, footer and absolute links."""
+    """(page_id, url) plus raw title, blocks, categories, footer, absolute links and, for a bad page, the error."""
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            pieces = [extract_page(h, u, selectors) for h, u in zip(frame["html"], frame["url"])]
-            columns = pd.DataFrame(pieces, columns=["title", "blocks", "categories", "footer", "links"])
+            pieces = [_page_or_error(h, u, selectors) for h, u in zip(frame["html"], frame["url"])]
+            columns = pd.DataFrame(pieces, columns=["title", "blocks", "categories", "footer", "links", "error"], dtype=object)
             yield pd.concat([frame[["page_id", "url"]].reset_index(drop=True), columns], axis=1)
 
     return pages.select("page_id", "url", "html").mapInPandas(batches, f"page_id bigint, url string, {PIECES}")

@@ -18,7 +18,6 @@ from rankloom.session import materialise
 
 
 TERM_BUCKETS = 64
-PUSHED_TERMS = 200
 
 
 def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
@@ -59,13 +58,9 @@ def term_hits(index: IndexTables, weighted: DataFrame) -> DataFrame:
 
     No join hint: the small side is broadcast while Spark finds it below its threshold, and a
     larger query table falls back to a shuffled join whose frequent terms are split at run time.
-    A handful of terms is also pushed into the scan, where sorted files skip most row groups.
     """
     keys = [c for c in ("bucket", "term", "field_id") if c in index.postings.columns and c in weighted.columns]
     postings = index.postings.filter(F.col("tf") > 0)
-    terms = [row.term for row in weighted.select("term").distinct().limit(PUSHED_TERMS + 1).collect()]
-    if 0 < len(terms) <= PUSHED_TERMS:
-        postings = postings.filter(F.col("term").isin(terms))
     return postings.join(weighted.filter(F.col("df") > 0), keys)
 
 

@@ -15,26 +15,13 @@ def vocabulary(words: DataFrame, word: str = "term") -> DataFrame:
     return counted.withColumn("stem", stem("token"))
 
 
-def with_stems(words: DataFrame, stems: DataFrame, word: str = "term",
-               broadcast_rows: int = 1_000_000, heavy_words: int = 100_000) -> DataFrame:
+def with_stems(words: DataFrame, stems: DataFrame, word: str = "term") -> DataFrame:
     """Replace ``word`` by its stem.
 
-    ``stems`` is a written vocabulary. Up to ``broadcast_rows`` words it is broadcast. Beyond
-    that, only words making up more than 1/heavy_words of all occurrences are: fewer than
-    heavy_words words can do so, and they are the ones that would overload a shuffle by word.
+    ``stems`` is a written vocabulary. The join has no hint: its measured bytes decide whether it is broadcast, and
+    frequent words that crowd a shuffled partition are split at run time.
     """
-    lookup = stems.select(F.col("token").alias(word), "stem")
-    if stems.count() <= broadcast_rows:
-        return words.join(F.broadcast(lookup), word).drop(word).withColumnRenamed("stem", word)
-    total = stems.agg(F.sum("n_occ")).first()[0]
-    heavy = F.col("n_occ") * heavy_words > total
-    frequent = stems.filter(heavy).select(F.col("token").alias(word), "stem")
-    rare = stems.filter(~heavy).select(F.col("token").alias(word), F.col("stem").alias("_rare"))
-    tagged = words.join(F.broadcast(frequent), word, "left")
-    known = tagged.filter(F.col("stem").isNotNull())
-    looked_up = tagged.filter(F.col("stem").isNull()).join(rare, word)
-    looked_up = looked_up.withColumn("stem", F.col("_rare")).drop("_rare")
-    return known.unionByName(looked_up).drop(word).withColumnRenamed("stem", word)
+    return words.join(stems.select(F.col("token").alias(word), "stem"), word).drop(word).withColumnRenamed("stem", word)
 
 
 def written_vocabulary(words: DataFrame, word: str = "term") -> DataFrame:

@@ -17,10 +17,14 @@ from rankloom.sources import serving
 
 
 def numbered_documents(pages: DataFrame, arrival: str | None = None) -> DataFrame:
-    """Complete pages, one per title, with dense ids in title order."""
-    unique = first_wins(pages, ["title"], [arrival]) if arrival else pages
-    kept = complete_pages(unique).filter(F.col("title") != "")
-    return with_dense_index(kept, ["title"], "doc_id")
+    """Complete pages, the first of each title, with dense ids in title order.
+
+    An incomplete page doesn't take the place of a complete one that arrives later. Without ``arrival`` titles
+    must be distinct already.
+    """
+    kept = complete_pages(pages).filter(F.col("title") != "")
+    unique = first_wins(kept, ["title"], [arrival]) if arrival else kept
+    return with_dense_index(unique, ["title"], "doc_id")
 
 
 def document_links(docs: DataFrame) -> DataFrame:

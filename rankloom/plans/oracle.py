@@ -96,8 +96,9 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         FROM documents"""),
     "unique_pages": (("raw_pages",), """
         SELECT * FROM raw_pages QUALIFY row_number() OVER (PARTITION BY title ORDER BY arrival) = 1"""),
-    "wiki_pages": (("unique_pages",), """
-        SELECT row_number() OVER (ORDER BY title) - 1 AS doc_id, * FROM unique_pages WHERE title <> '' AND content <> ''"""),
+    "wiki_pages": (("raw_pages",), """
+        SELECT row_number() OVER (ORDER BY title) - 1 AS doc_id, * FROM (SELECT * FROM raw_pages WHERE title <> '' AND content <> ''
+            QUALIFY row_number() OVER (PARTITION BY title ORDER BY arrival) = 1)"""),
     "fields": (("wiki_pages",), """
         SELECT doc_id, 0 AS field_id, title AS text FROM wiki_pages
         UNION ALL SELECT doc_id, 1, content FROM wiki_pages
@@ -359,7 +360,7 @@ def _request_sql() -> str:
     log = r"""
         SELECT conv_id * 1000 + turn AS query_id, CASE turn % 4 WHEN 0 THEN 'method=text&' WHEN 1 THEN 'method=TextRank&'
             WHEN 2 THEN 'method=boolean&' ELSE CASE WHEN conv_id % 2 = 0 THEN 'method=x&' ELSE '' END END || 'keyword=%20'
-            || array_to_string(string_split(regexp_replace(text, '[^\p{L}\p{N} ]+', '', 'g'), ' ')[1:2], '+')
+            || array_to_string(string_split(regexp_replace(text, '[^\p{L}\p{N} ]+', '', 'g'), ' '), '+')
             || CASE WHEN turn % 2 = 0 THEN '&page=' || turn ELSE '&page=x&a=b=c' END AS raw FROM conversations"""
     decode = _trim("url_decode(replace({}, '+', ' '))")
     names = _list(rq.METHODS)
@@ -481,7 +482,7 @@ ORACLE: dict[str, str] = {
         WHERE regexp_matches(p, '{v.PATH_PATTERN}')""", "page_links"),
     "frontier_bfs": _sql("SELECT node, min(depth)::INTEGER AS depth FROM bfs GROUP BY node", "part_links", recursive=True, extra={
         "bfs(node, depth)": """SELECT min(src), 0 FROM part_links UNION
-            SELECT dst, depth + 1 FROM bfs JOIN part_links ON src = node WHERE depth < 4"""}),
+            SELECT dst, depth + 1 FROM bfs JOIN part_links ON src = node WHERE depth < 10"""}),
     "visited_suppression": _sql("SELECT DISTINCT dst AS node FROM part_links WHERE dst NOT IN (SELECT src FROM part_links)", "part_links"),
     "page_budget": _sql("""SELECT dst AS node, count(*)::INTEGER AS depth FROM part_links GROUP BY dst
             ORDER BY depth, node LIMIT 1000""", "part_links"),
@@ -537,7 +538,7 @@ ORACLE: dict[str, str] = {
     "rank_blend": _rank_sql("""SELECT query_id, doc_id, round(text * 0.9 + r * 0.1, 5) AS total, round(text, 5) AS text, round(r, 5) AS rank
             FROM (SELECT query_id, doc_id, text, coalesce(f.rank, 1.0 / (SELECT count(*) FROM wiki_pages))
                 / (SELECT max(rank) FROM final) * 1000 AS r FROM normalised LEFT JOIN final f USING (doc_id))""",
-            "doc_links", None, "normalised", epsilon=v.DOC_EPSILON),
+            "doc_links", None, "normalised", epsilon=1e-6),
     "topk": _sql("SELECT query_id, rn::INTEGER AS rn, doc_id, round(total, 6) AS total FROM best WHERE rn <= 10", "best"),
     "score_text": _sql("SELECT query_id, doc_id, printf('%.8f', round(text, 5)) AS score FROM combined", "combined"),
     "phrase_match": _sql("SELECT query_id, clause, field_id, doc_id, phrase_tf FROM phrases", "phrases"),

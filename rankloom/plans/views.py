@@ -26,7 +26,6 @@ HOST_PATTERN = r".*\.example\.(?:com|net|org)"
 PATH_PATTERN = r"^/([^/:]*)$"
 INGEST_TS = "2018-02-01 00:00:00"
 AGENT = "site-crawler"
-DOC_EPSILON = 1e-3  # the document graph is small and loops; a coarser limit saves rounds
 
 _built: dict[tuple[str, str], object] = {}
 
@@ -69,7 +68,7 @@ def index(spark: SparkSession, sf: str, stem: bool = False, with_rank: bool = Fa
 
     built = _once(spark, f"index-{stem}", sf, make)
     if with_rank:
-        _once(spark, f"ranks-{stem}", sf, lambda: publish_ranks(built.table("documents"), built.path, DOC_EPSILON))
+        _once(spark, f"ranks-{stem}", sf, lambda: publish_ranks(built.table("documents"), built.path))
     return built
 
 
@@ -117,7 +116,7 @@ def robots_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def request_log(spark: SparkSession, sf: str) -> DataFrame:
     """One search request per conversation turn, some of them faulty."""
-    words = F.array_join(F.slice(F.split(F.regexp_replace("text", r"[^\p{L}\p{N} ]+", ""), " "), 1, 2), "+")
+    words = F.array_join(F.split(F.regexp_replace("text", r"[^\p{L}\p{N} ]+", ""), " "), "+")
     turn = F.col("turn")
     method = (F.when(turn % 4 == 0, "method=text&").when(turn % 4 == 1, "method=TextRank&")
               .when(turn % 4 == 2, "method=boolean&").otherwise(F.when(F.col("conv_id") % 2 == 0, "method=x&").otherwise("")))

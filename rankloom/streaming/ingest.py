@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,12 +35,16 @@ def insert_batch(batch: DataFrame, batch_id: int, path: str, arrival: str) -> No
     only. A batch that runs again after a failure therefore replaces its own rows.
     """
     spark = batch.sparkSession
+    n_arrived = batch.count()
     batch = complete_pages(batch).persist()
     stored = _stored(spark, path, batch.schema).filter(F.col(BATCH) != batch_id).select("title")
     # A batch is small next to the table: look its titles up there, so the table is not shuffled.
     known = lookup(stored, batch, "title")
     new_rows(batch, known, ["title"], [arrival]).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
     batch.unpersist()
+    n_inserted = spark.read.schema(batch.schema).parquet(f"{path}/{BATCH}={batch_id}").count()
+    spark.createDataFrame([(n_arrived, n_inserted)], "n_arrived bigint, n_inserted bigint").coalesce(1).write.mode("overwrite").parquet(
+        f"{counters_path(path)}/{BATCH}={batch_id}")
 
 
 def ingest(pages: DataFrame, path: str, checkpoint: str, arrival: str,
@@ -49,16 +53,23 @@ def ingest(pages: DataFrame, path: str, checkpoint: str, arrival: str,
     rows = prepare(pages) if prepare else pages
     # An empty folder of its own makes the table readable for the first batch.
     pages.sparkSession.createDataFrame([], rows.schema).write.mode("append").parquet(f"{path}/{BATCH}=-1")
-    observed = rows.observe("arrived", F.count("*").alias("n_arrived"))
     return (
-        observed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
         .foreachBatch(lambda batch, batch_id: insert_batch(batch, batch_id, path, arrival)).start()
     )
 
 
-def progress(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch, pages arrived) of the batches a query reported."""
-    return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress if p["numInputRows"]]
+def counters_path(path: str) -> str:
+    return f"{path.rstrip('/')}-counters"
+
+
+def progress(spark: SparkSession, path: str) -> DataFrame:
+    """(ingest_batch, n_arrived, n_inserted, n_total) of every batch so far, however many there were.
+
+    Each batch writes its own counters, so one that runs again replaces them.
+    """
+    return spark.read.schema(f"n_arrived bigint, n_inserted bigint, {BATCH} bigint").parquet(counters_path(path)).withColumn(
+        "n_total", F.sum("n_inserted").over(Window.orderBy(BATCH)))
 
 
 def committed(spark: SparkSession, path: str) -> DataFrame:

@@ -37,6 +37,8 @@ def test_responses(spark, index):
     found = responses(spark, index, [
         "method=text&keyword=red+foxes", "method=textrank&keyword=red+fox", "method=boolean&keyword=red+fox&page=9",
         "method=text&keyword=zzzz", "method=nope&keyword=a"])
+    assert [found[k]["error"] for k in range(5)] == [False] * 4 + [True]
+    found = {k: r if r["error"] else r["data"] for k, r in found.items()}
     first = found[0]
     assert (first["hits"], first["pageNo"], first["totalPages"]) == (4, 1, 1)
     assert first["pages"][0]["url"].endswith("/red_fox") and first["pages"][0]["title"] == "<span>red</span> fox"
@@ -55,4 +57,4 @@ def test_hot_request_is_answered_for_everyone(spark, index):
     found = responses(spark, index, raws)
     assert len(found) == 60
     assert len({json.dumps(found[i], sort_keys=True) for i, r in enumerate(raws) if r == hot}) == 1
-    assert found[1]["hits"] == 2 and found[0]["hits"] == 4
+    assert found[1]["data"]["hits"] == 2 and found[0]["data"]["hits"] == 4

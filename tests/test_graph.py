@@ -62,5 +62,5 @@ def test_frontier_against_brute_force(spark):
 
 def test_page_budget_ways_agree(spark):
     nodes = spark.range(300).select(F.col("id").alias("node"), (F.col("id") % 7).cast("int").alias("depth"))
-    small, large = fr.page_budget(nodes, 120), fr.page_budget(nodes, 120, in_one_task=10)
+    small, large = nodes.orderBy("depth", "node").limit(120), fr.page_budget(nodes, 120)
     assert sorted(small.collect()) == sorted(large.select(*small.columns).collect())

@@ -72,6 +72,9 @@ def test_requests(spark):
 
 def test_json_pointer(spark):
     doc = json.dumps({"a/b": [1, {"k": "v"}], "0": {"x~y": True}, "n": None})
-    cases = {"/a~1b/1/k": "v", "#/a~1b/0": "1", "/0/x~0y": "true", "/a~1b/7": None, "/missing": None, "/n": None, "": doc}
+    cases = {"/a~1b/1/k": "v", "#/a~1b/0": "1", "/0/x~0y": "true", "/a~1b/7": None, "/missing": None, "/n": None, "": doc, "/*": None}
     for pointer, expected in cases.items():
         assert one(spark, json_pointer(F.lit(doc), pointer)) == expected
+    odd = json.dumps({"*": 2, "": 4, "it's": [[1, [5]], {"0": "z"}]})
+    for pointer, expected in {"/*": "2", "/": "4", "/it's/0/1/0": "5", "/it's/1/0": "z", "/it's/01": None}.items():
+        assert one(spark, json_pointer(F.lit(odd), pointer)) == expected

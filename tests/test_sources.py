@@ -69,7 +69,8 @@ def test_stream_equals_batch(spark, tmp_path):
         stream = ingest.page_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
         query = ingest.ingest(stream, target, marks, "arrival")
         query.awaitTermination()
-        assert sum(n for _, n in ingest.progress(query)) == 30
+    counted = ingest.progress(spark, target).orderBy(ingest.BATCH).collect()
+    assert [r.n_arrived for r in counted] == [30] * 4 and counted[-1].n_total == 40
     first = {}
     for arrival, title, content, _ in rows:
         if content:
@@ -87,3 +88,10 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     for batch_id in (0, 0, 1):
         ingest.insert_batch(batch, batch_id, target, "arrival")
     assert sorted(r.title for r in spark.read.parquet(target).collect()) == ["a", "b"]
+
+
+def test_incomplete_page_does_not_take_a_title(spark):
+    from rankloom.plans.build_index import numbered_documents
+
+    pages = spark.createDataFrame([("t", "", ["c"], 1), ("t", "text", ["c"], 2), ("t", "later", ["c"], 3)], "title string, content string, categories array<string>, arrival bigint")
+    assert [(r.title, r.content) for r in numbered_documents(pages, "arrival").collect()] == [("t", "text")]

@@ -85,3 +85,11 @@ def test_first_matching_rule_decides(spark):
                                   "host string, ordinal bigint, path_prefix string, allow boolean")
     pages = spark.createDataFrame([(0, "http://h/a/b/c"), (1, "http://h/a/c")], "page_id bigint, url string")
     assert {r.page_id: r.allowed for r in robots_gate(pages, rules).collect()} == {0: False, 1: True}
+
+
+def test_bad_pages_end_no_job(spark):
+    from rankloom.operators.html import extract_pieces
+
+    rows = [(1, "http://a/b", None), (2, "http://a/b", "<![foo"), (3, "http://a/b", "<h1>x"), (4, None, "")]
+    got = {r.page_id: r for r in extract_pieces(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[1].error == "no page" and got[2].error.startswith("AssertionError") and got[3].error is None and len(got) == 4
