@@ -330,11 +330,16 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85, long_lis
     rest = materialise(rest.unionByName(apart).distinct(), "rest")
     ends = rest.select(F.col("a").alias("node")).unionByName(rest.select(F.col("b").alias("node"))).distinct().join(sets.select("node"), "node", "left_anti")
     sets = sets.unionByName(materialise(whole_sets(docs, keys.join(ends, "node"), width), "sets"))
-    every = first.unionByName(verified(rest, sets, percent))
-    groups = components(every)
+
+    # These links join components found before, not single nodes.
+    late = verified(rest, sets, percent)
+    for end in "ab":
+        late = late.join(known.select(F.col("node").alias(end), "component"), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    merged = components(late).select(F.col("node").alias("c"), F.col("component").alias("into"))
 
     # Back to documents: the smallest doc_id of a component.
-    node_of = nodes.select("node", "digest", "doc_id").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    node_of = nodes.select("node", "digest", "doc_id").join(known, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    node_of = node_of.join(merged, "c", "left").withColumn("component", F.coalesce("into", "c")).select("node", "digest", "doc_id", "component")
     smallest = materialise(node_of.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("nodes")), "smallest")
     named = join_hot(node_of.select("digest", "component"), smallest, ["component"], "nodes").select("digest", "component_id")
     copies = filled.groupBy("digest").agg(F.count("*").alias("copies"))
