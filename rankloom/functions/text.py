@@ -1,7 +1,7 @@
 """Text analysis as column expressions.
 
 Two analyzers exist. The primary one cuts text at ASCII white space, cleans each token and keeps
-ASCII alphanumeric words; the standard one cuts at everything that is neither letter nor digit.
+ASCII alphanumeric words; the standard one follows the public word-break rules.
 Queries go through a third, shorter chain: they are split at single spaces and not cleaned.
 """
 
@@ -77,8 +77,22 @@ def categories_text(categories: Column) -> Column:
     return F.lower(F.array_join(categories, " "))
 
 
+# Marks that the public word-break rules keep between two letters, between two digits.
+_IN_WORD, _IN_NUMBER = ".:'\u00b7\u2018\u2019", ".,;'\u2018\u2019"
+_LETTER, _DIGIT = r"[\p{L}\p{M}]", r"\p{Nd}"
+#: One character between words. It repeats nothing, so that texts without blanks don't exhaust the stack.
+_BETWEEN = (rf"(?!(?<={_LETTER})[{_IN_WORD}](?={_LETTER}))(?!(?<={_DIGIT})[{_IN_NUMBER}](?={_DIGIT}))" r"[^\p{L}\p{M}\p{N}_]")
+#: Longer words are cut into pieces of so many characters.
+STANDARD_LONGEST = 255
+
+
 def standard_tokens(text: Column) -> Column:
-    return F.split(F.regexp_replace(F.lower(text), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z", ""), r"[^\p{L}\p{N}]+")
+    """Lower-cased words by the public word-break rules: "don't", "3.14", "foo_bar" and "u.s.a" are one word each.
+
+    Pieces without a letter or digit don't count; a longer word than STANDARD_LONGEST gives several.
+    """
+    words = F.filter(F.split(F.lower(text), _BETWEEN), lambda w: w.rlike(r"[\p{L}\p{N}]"))
+    return F.flatten(F.transform(words, lambda w: F.regexp_extract_all(w, F.lit(rf"(?s).{{1,{STANDARD_LONGEST}}}"), F.lit(0))))
 
 
 def is_standard_stop_word(token: Column) -> Column:

@@ -35,6 +35,20 @@ def _split_tokens(text: str) -> str:
     return f"CASE WHEN {bare} = '' THEN []::VARCHAR[] ELSE regexp_split_to_array({bare}, '{_DELIMITERS}+') END"
 
 
+# Marks inside words and numbers, each with a private character that stands for it.
+_MARKS = ".:'\u00b7\u2018\u2019,;"
+_PRIVATE = "".join(chr(0xE000 + i) for i in range(len(_MARKS)))
+
+
+def _joined_marks(text: str) -> str:
+    """Put private characters for marks between letters or digits: there is no look-around. Twice, as matches can't overlap."""
+    for kind, marks in ((r"[\p{L}\p{M}]", ".:'\u00b7\u2018\u2019"), (r"\p{Nd}", ".,;'\u2018\u2019")):
+        for mark in marks + marks:
+            private = _PRIVATE[_MARKS.index(mark)]
+            text = rf"regexp_replace({text}, '({kind})[{mark.replace(chr(39), chr(39) * 2)}]({kind})', '\1{private}\2', 'g')"
+    return text
+
+
 def _words(text: str) -> str:
     return f"list_filter(list_transform(string_split({text}, ' '), lambda w: {_trim('w')}), lambda w: w <> '')"
 
@@ -127,9 +141,11 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
              coalesce(max(tf) FILTER (field_id = 2), 0)] AS tf,
             flatten(list(positions ORDER BY field_id)) AS positions
         FROM postings GROUP BY term, doc_id"""),
-    "std_lists": (("fields",), r"""
-        SELECT doc_id, field_id, regexp_split_to_array(
-            regexp_replace(lower(text), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g'), '[^\p{L}\p{N}]+') AS tokens FROM fields"""),
+    "std_lists": (("fields",), rf"""
+        SELECT doc_id, field_id, flatten(list_transform(list_filter(regexp_extract_all(marked, '[\p{{L}}\p{{M}}\p{{N}}_{_PRIVATE}]+'),
+                lambda w: regexp_matches(w, '[\p{{L}}\p{{N}}]')),
+            lambda w: regexp_extract_all(translate(w, '{_PRIVATE}', '{_MARKS.replace("'", "''")}'), '(?s).{{1,255}}'))) AS tokens
+        FROM (SELECT doc_id, field_id, {_joined_marks('lower(text)')} AS marked FROM fields)"""),
     "std_words": (("std_lists",), f"""
         SELECT doc_id, field_id, pos, term, count(*) OVER (PARTITION BY doc_id, field_id)::INTEGER AS doc_len FROM (
             SELECT doc_id, field_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) - 1 AS pos FROM std_lists)

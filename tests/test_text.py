@@ -41,4 +41,11 @@ def test_keyword_words_keep_punctuation(spark):
 
 
 def test_standard_tokens(spark):
-    assert one(spark, "L'été 3.14!", tx.standard_tokens(F.col("t"))) == ["l", "été", "3", "14"]
+    cases = {
+        "L'été 3.14!": ["l'été", "3.14"], "Don't": ["don't"], "foo_bar __": ["foo_bar"], "U.S.A.": ["u.s.a"], "a.1 1.a": ["a", "1", "1", "a"],
+        "1,000;5 a,b": ["1,000;5", "a", "b"], "'quoted' a''b x-y": ["quoted", "a", "b", "x", "y"], "": [], " .": [],
+        "x" * 300: ["x" * 255, "x" * 45],
+    }
+    for raw, words in cases.items():
+        assert one(spark, raw, tx.standard_tokens(F.col("t"))) == words
+    assert len(one(spark, "a." * 30_000, tx.standard_tokens(F.col("t")))) == -(-59_999 // 255)
