@@ -95,3 +95,17 @@ def test_incomplete_page_does_not_take_a_title(spark):
 
     pages = spark.createDataFrame([("t", "", ["c"], 1), ("t", "text", ["c"], 2), ("t", "later", ["c"], 3)], "title string, content string, categories array<string>, arrival bigint")
     assert [(r.title, r.content) for r in numbered_documents(pages, "arrival").collect()] == [("t", "text")]
+
+
+def test_postings_are_computed_once_when_published(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    posted = spark.range(1000).selectExpr("concat('t', id % 3) term", "1 field_id", "id doc_id", "1 tf").mapInArrow(
+        counted, "term string, field_id int, doc_id long, tf int")
+    serving.publish_postings(posted, str(tmp_path / "p"), 4)
+    assert seen.value == spark.read.parquet(str(tmp_path / "p")).count() == 1000
