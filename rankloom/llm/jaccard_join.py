@@ -5,9 +5,9 @@ light sets that hold the same such subset are linked, so one member of a bucket
 Heavy nodes scan inverted lists of the rarest shingles of their sets (as many as two linked sets can't both miss). The
 size that parts light from heavy is where subsets begin to cost more than lists.
 
-A list of N nodes is never turned into all pairs. Every member is first compared with the smallest one, and members
-that are then connected need nothing more. Members of short lists that are still apart are compared with each other. In
-long lists members are described by how they differ from the smallest one: two of them can only be linked if both
+A list of N nodes is never turned into all pairs. Every member is first compared with the most typical one, whose
+shingles are the commonest, and members that are then connected need nothing more. Members of short lists that are still
+apart are compared with each other. In long lists members are described by how they differ from the typical one: two of them can only be linked if both
 differences are small, which makes them connected already, or share rare enough shingles, which an inverted list over
 differences finds. No cap, sample or estimate decides on a pair: each candidate is checked on the whole sets.
 
@@ -138,13 +138,14 @@ def _longs(a: np.ndarray) -> list[int]:
 
 def shingle_rows(docs: DataFrame, width: int, percent: int, order: Broadcast) -> DataFrame:
     """doc_id, n, digest of the set, and its rare shingles that occur elsewhere: ``prefix`` for the lists, ``shown`` to
-    compare before whole sets are; ``small`` has the whole set where it may be light."""
-    schema = "doc_id long, n long, digest binary, prefix array<long>, shown array<long>, small array<long>"
+    compare before whole sets are; ``small`` has the whole set where it may be light, and ``typical`` says how common its
+    shingles are: high for the original of a group, low for a member of it with many changes."""
+    schema = "doc_id long, n long, digest binary, typical double, prefix array<long>, shown array<long>, small array<long>"
     longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, digest, prefix, shown, small = [], [], [], [], []
+            n, digest, typical, prefix, shown, small = [], [], [], [], [], []
             for found in shingle_sets(batch.column(1), width):
                 weight = order.value.weights(found)
                 rank = np.lexsort((found, weight))
@@ -152,12 +153,13 @@ def shingle_rows(docs: DataFrame, width: int, percent: int, order: Broadcast) ->
                 cut = lambda k: _longs(found[rank[:k]][weight[rank[:k]] > 0])  # noqa: B023, E731
                 n.append(len(found))
                 digest.append(xxhash.xxh3_128_digest(found.tobytes()))
+                typical.append(float(np.log2(1.0 + weight).sum() / max(1, len(found))))
                 prefix.append(cut(most))
                 shown.append(cut(most + _SHOWN - 1))
                 small.append(_longs(found) if len(found) <= _LIGHT_MOST else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(prefix, longs), pa.array(shown, longs), pa.array(small, longs)],
-                ["doc_id", "n", "digest", "prefix", "shown", "small"])
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(typical, pa.float64()), pa.array(prefix, longs), pa.array(shown, longs), pa.array(small, longs)],
+                ["doc_id", "n", "digest", "typical", "prefix", "shown", "small"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -283,21 +285,21 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85, long_lis
     rows = materialise(shingle_rows(docs, width, percent, order), "shingles")
     filled = rows.filter("n > 0")
     nodes = materialise(filled.groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("shown").alias("shown"), F.first("small").alias("small"),
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("prefix").alias("prefix"), F.first("shown").alias("shown"), F.first("small").alias("small"),
     ).withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # Lists of two or more nodes.
-    postings = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
+    postings = nodes.select("node", "n", "typical", F.explode("prefix").alias("shingle"))
     lists = materialise(postings.groupBy("shingle").agg(
-        F.min("node").alias("pivot"), F.count("*").alias("many"), F.max("n").alias("longest")).filter("many > 1"), "lists")
-    listed = materialise(join_hot(postings, lists.withColumn("length", F.col("many")), ["shingle"], "many"), "listed")
+        F.max(F.struct("typical", "node"))["node"].alias("pivot"), F.count("*").alias("many"), F.max("n").alias("longest")).filter("many > 1"), "lists")
+    listed = materialise(join_hot(postings.drop("typical"), lists.withColumn("length", F.col("many")), ["shingle"], "many"), "listed")
     costs = {r.n: (r.nodes, r.work) for r in nodes.filter(F.col("n") <= _LIGHT_MOST).groupBy("n").agg(F.count("*").alias("nodes")).join(
         listed.filter(F.col("n") <= _LIGHT_MOST).groupBy("n").agg(F.sum("length").alias("work")), "n", "left").fillna(0).collect()}
     light = light_boundary(costs, percent)
     links = [light_links(nodes.filter(F.col("n") <= light), percent)]
     heavy = listed.filter(F.col("longest") > light)
 
-    # Everyone against the smallest node of each list.
+    # Everyone against the most typical node of each list.
     star = heavy.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     star = materialise(_plausible(star, nodes, percent), "star")
     long_members = materialise(heavy.filter(F.col("length") > long_list).select("pivot", "node").distinct(), "members")
