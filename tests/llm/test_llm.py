@@ -79,6 +79,22 @@ def test_jaccard_components_equal_brute_force(spark, long_list, percent):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 4, percent)
 
 
+def test_jaccard_of_a_large_group_just_apart(spark):
+    """Members with 0 to 7 changes of one text, some changes shared; the first one is an odd one."""
+    rng = np.random.default_rng(7)
+    words = [f"w{k}" for k in range(150)]
+    rows = [(0, edited(rng, words, 9))]
+    for k in range(1, 240):
+        text = edited(rng, words, int(rng.integers(0, 8))).split()
+        if k % 3 == 0:
+            text[40 * (k % 9) // 3 : 40 * (k % 9) // 3 + 4] = [f"s{k % 9}"] * 4
+        rows.append((k, " ".join(text)))
+    want = brute_components(rows, 4, 85)
+    assert 1 < len({c for _, _, c in want}) < len(rows)
+    got = jaccard_join.near_duplicates(docs_of(spark, rows), 4, 85).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
 def test_jaccard_odd_input(spark):
     got = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard_join.near_duplicates(docs_of(spark, ODD)).collect()}
     assert got[(1, 0)] == 1 and got[(2, 0)] == 2 and got[(4, 1)] == 4 and got[(6, 59_997)] == 6 and got[(5, 2)] == 5
