@@ -419,3 +419,28 @@ def test_decontamination_on_the_table(spark):
     whole = {d for d, w in docs for b in bench if f" {' '.join(b)} " in f" {' '.join(w)} "}
     any_run = {d for d, w in docs if any(tuple(w[k : k + 8]) in runs for k in range(len(w) - 7))}
     assert whole and whole <= got and got <= any_run
+
+
+def test_decontamination_counts_what_is_consistent(spark):
+    """Copies with one changed slot, slots that get the same new value or lose their old one, and items of many numbers."""
+    numbers = "Add these numbers up : " + " ".join(str(k * 7 + 11) for k in range(20))
+    bench = spark.createDataFrame([(1, ITEM), (2, numbers), (3, "Tom has 3 red apples , 5 green pears and 3 km to walk")], "item_id long, text string")
+    filler = " ".join(f"filler{k}" for k in range(30))
+    once = ITEM.replace("Paris", "London", 1)
+    merged = ITEM.replace("120 km", "40 miles").replace("7 km", "40 miles").replace("3 hours", "40 hours").replace("Paris", "Bob").replace("Anna", "Bob")
+    split = ITEM.replace("120 km", "40 miles").replace("9 hours", "6 days")
+    other = numbers.split(":")[0] + ": " + " ".join(str(k * 5 + 400) for k in range(20))
+    rows = [(1, once), (2, merged), (3, f"{filler} {split} {filler}"), (4, other), (5, " ".join(str(k * 5 + 400) for k in range(200))), (6, "Tom has 8 red apples , 9 green pears and 4 km to walk"), (7, filler)]
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs_of(spark, rows), bench).collect()}
+    assert set(found) == {(1, 1), (2, 1), (3, 1), (4, 2), (6, 3)}
+    assert all(r.kind == "reparameterised" for r in found.values()) and found[(3, 1)].first_word == 30 and found[(1, 1)].covered == 1.0 == found[(4, 2)].covered
+
+
+def test_decontamination_wants_half_of_the_slots_consistent(spark):
+    item = "the value of Mars is big and the mass of Mars is low and the orbit of Mars is red and the moon of Mars is old"
+    four = item
+    for name in ("Alpha", "Beta", "Gamma", "Delta"):
+        four = four.replace("Mars", name, 1)
+    two = item.replace("Mars", "Alpha", 2).replace("Mars", "Beta")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.contaminated(docs_of(spark, [(1, four), (2, two), (3, item)]), bench).collect()} == {2, 3}
