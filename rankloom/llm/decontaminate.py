@@ -99,12 +99,14 @@ def windows(codes: np.ndarray, values: np.ndarray, row: np.ndarray, width: int,
 
     Each is hashed as it is written and, if it has slots, as a template. A template has literal words for half of
     ``width``; a window with fewer grows to the right and to the left until it has them, to ``longest`` words at most.
+    Whether the first word is a name or a unit depends on what stands before the window, so such a template is hashed
+    with its first word as written, too.
     """
     n = len(codes)
     with np.errstate(over="ignore"):
         bounds = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]])) if n else np.zeros(1, int)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        begin, stop = bounds[text], bounds[text + 1] if n else text
+        stop = bounds[text + 1] if n else text
         up, down = _powers(_STEP, n), _powers(_STEP_INVERSE, n)
         sums = lambda x: np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up, dtype=np.uint64)])
         form, written = sums(codes), sums(values)
@@ -120,18 +122,34 @@ def windows(codes: np.ndarray, values: np.ndarray, row: np.ndarray, width: int,
         few = literals[b] - literals[a] < least
         slotted = ~few & (literals[b] - literals[a] < width)
         spans = [(a[slotted], b[slotted])]
+        turned = (codes == _NAME) | (codes == _UNIT)  # as first words
+        first = turned[a] & (literals[b] - literals[a] + 1 >= least)
+        as_written = [(a[first], b[first])]
         if few.any() and longest > width:
+            # Place of the k-th literal word of the block at least + k; none before the first and after the last.
             padded = np.concatenate([np.full(least, -1), places, np.full(least, n)])
-            right = np.maximum(padded[literals[a[few]] + 2 * least - 1] + 1, b[few])
-            left = np.minimum(padded[literals[b[few]]], a[few])
-            ok = right <= stop[a[few]]
-            spans.append((a[few][ok], right[ok]))
-            ok = left >= begin[a[few]]
-            spans.append((left[ok], b[few][ok]))
+            nearest = np.concatenate([[-1], np.maximum.accumulate(np.where(turned, np.arange(n), -1))])  # before each word
+            a, b = a[few], b[few]
+            first = turned[a] & (literals[b] - literals[a] + 1 < least)
+            starting = nearest[np.maximum(padded[literals[b] + 1], 0)]
+            grown = [
+                (spans, a, np.maximum(padded[literals[a] + 2 * least - 1] + 1, b)),
+                (spans, np.minimum(padded[literals[b]], a), b),
+                (as_written, a[first], np.maximum(padded[literals[a[first]] + 2 * least - 2] + 1, b[first])),
+                (as_written, np.where(starting > padded[literals[b]], np.minimum(starting, a), -1), b)]
+            for to, x, y in grown:
+                inside = (x >= 0) & (y <= n)
+                x, y = x[inside], y[inside]
+                inside = y <= stop[x]
+                to.append((x[inside], y[inside]))
         for a, b in spans:
             kept = b - a <= longest
             a, b = a[kept], b[kept]
             out.append((a, b, hashes(form, a, b, 0)))
+        for a, b in as_written:
+            kept = (b - a <= longest) & turned[a]
+            a, b = a[kept], b[kept]
+            out.append((a, b, hashes(form, a, b, 0) + values[a] - codes[a]))
         starts, ends, found = (np.concatenate(x) for x in zip(*out, strict=True))
         return starts, ends, mix(found)
 

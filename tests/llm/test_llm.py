@@ -444,3 +444,13 @@ def test_decontamination_wants_half_of_the_slots_consistent(spark):
     two = item.replace("Mars", "Alpha", 2).replace("Mars", "Beta")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert {r.doc_id for r in decontaminate.contaminated(docs_of(spark, [(1, four), (2, two), (3, item)]), bench).collect()} == {2, 3}
+
+
+def test_decontamination_of_short_items_in_mid_sentence(spark):
+    numbers = "Add these numbers up " + " ".join(str(k * 7 + 11) for k in range(20))
+    bench = spark.createDataFrame([(1, "What is the capital of Peru"), (2, "Which 3 of 7 towns remain"), (3, numbers)], "item_id long, text string")
+    before = ["Question ", "(", "1) ", "- ", "so then he asked ", "Say: "]
+    rows = [(k, f"{x}What is the capital of Peru") for k, x in enumerate(before)] + [(10 + k, f"{x}Which 4 of 9 towns remain") for k, x in enumerate(before)]
+    rows += [(20, "Question Add these numbers up " + " ".join(str(k * 5 + 400) for k in range(20))), (30, "Question What is the price of bread now")]
+    found = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contaminated(docs_of(spark, rows), bench).collect()}
+    assert found == {**{(k, 1): "verbatim" for k in range(6)}, **{(10 + k, 2): "reparameterised" for k in range(6)}, (20, 3): "reparameterised"}
