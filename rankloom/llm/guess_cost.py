@@ -22,9 +22,9 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
-# Contexts whose values are judged by guess cost.
+# Contexts whose values are judged by guess cost. The value is looked ahead at, as it may itself be a context of the next.
 _CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:pwd|pass(?:word|wd|phrase|code)?|secret|token|api_?key|credentials?|auth(?:orization)?|bearer|private_?key|access_?key|client_?secret)["']?(?:\x20?[:=]\x20?|\x20is\x20)["']?([^\s"',;<>]{8,})""",
+    r"""(?<![A-Za-z0-9])(?:(?:pwd|pass(?:word|wd|phrase|code)?|secret|token|api_?key|credentials?|auth(?:orization)?|bearer|private_?key|access_?key|client_?secret)["']?(?:[\x20\t]*[:=][\x20\t]*|[\x20\t]+is[\x20\t]+)|bearer[\x20\t]+)["']?(?=([^\s"',;<>]{6,}))""",
     re.ASCII | re.IGNORECASE)
 
 # Rows of keys on a common keyboard.
@@ -122,11 +122,13 @@ def scan(text: str, words: dict[str, int], least_cost: float) -> list[tuple[str,
     reach = [0]
     for _, b in taken:
         reach.append(max(reach[-1], b))
-    if ":" in text or "=" in text or " is " in text:
-        for m in _CONTEXT.finditer(text):
-            before = bisect_left(taken, (m.end(1),))
-            if reach[before] <= m.start(1) and (cost := guess_cost(m[1], words)[0]) >= least_cost:
-                found.append((m.start(1), 3, m.end(1), cost))
+    last = 0
+    for m in _CONTEXT.finditer(text):
+        a, b = m.span(1)
+        before = bisect_left(taken, (b,))
+        if a >= last and reach[before] <= a and (cost := guess_cost(m[1], words)[0]) >= least_cost:
+            found.append((a, 3, b, cost))
+            last = b
     return [(KINDS[k], a, b, c) for a, k, b, c in sorted(found, key=lambda x: x[:3])]
 
 

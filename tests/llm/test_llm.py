@@ -454,3 +454,15 @@ def test_decontamination_of_short_items_in_mid_sentence(spark):
     rows += [(20, "Question Add these numbers up " + " ".join(str(k * 5 + 400) for k in range(20))), (30, "Question What is the price of bread now")]
     found = {(r.doc_id, r.item_id): r.kind for r in decontaminate.contaminated(docs_of(spark, rows), bench).collect()}
     assert found == {**{(k, 1): "verbatim" for k in range(6)}, **{(10 + k, 2): "reparameterised" for k in range(6)}, (20, 3): "reparameterised"}
+
+
+def test_values_in_every_context():
+    words = guess_cost.word_ranks(RANKS)
+    value = "p@$$w0rd-X9!zz"
+    for text in ("Authorization: Bearer {}", "bearer {}", "auth:\tBearer\t{}", "password:      {}", "password\t=\t{}", "pwd\tis\t{}", "token: secret: {}", '"api_key"  :  "{}"', "bearer is {}", "bearer: {}"):
+        start = text.index("{")
+        assert [(k, a, b) for k, a, b, _ in guess_cost.scan(text.format(value), words, 10.0) if k == "guess"] == [("guess", start, start + len(value))], text
+    assert [(a, b) for _, a, b, _ in guess_cost.scan("pwd: x#9Q$v", words, 8.0)] == [(5, 11)]
+    assert [(a, b) for _, a, b, _ in guess_cost.scan("pwd: #%&!?*~", words, 10.0)] == [(5, 12)]
+    assert guess_cost.scan("the bearer of the certificate, bearer certificate", words, 10.0) == []
+    assert [(k, a, b) for k, a, b, _ in guess_cost.scan("auth=pwd=xK9#mQ2$vL7p!", words, 10.0)] == [("guess", 5, 22)]
