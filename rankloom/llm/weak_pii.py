@@ -26,12 +26,16 @@ BASE = {
 }
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
+_WORD = "[A-Z][a-z]{1,30}(?![A-Za-z])"
+
 # Candidates that labelers vote on.
 CANDIDATES = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])",
-    "name": r"(?<![A-Za-z])(?:(?:Mr|Mrs|Ms|Dr|Prof)\.\x20[A-Z][a-z]{1,30}(?:\x20[A-Z][a-z]{1,30})?|[A-Z][a-z]{1,30}\x20[A-Z][a-z]{1,30})(?![A-Za-z])",
+    # One word is consumed and the rest looked ahead at, so that a name is tried at every capitalised word: group 1 is the
+    # rest of the name, group 2 what stands after it.
+    "name": rf"(?<![A-Za-z])(?:(?:Mr|Mrs|Ms|Dr|Prof)\.|{_WORD})\x20(?=((?:(?<=\.\x20){_WORD}\x20)?{_WORD})((?s:.{{0,10}})))",
 }
 KINDS = [*BASE, *CANDIDATES]
 
@@ -51,11 +55,22 @@ LABELERS = ("form", "gazetteer", "context", "against", "alone")
 
 def _found(kind: str, pattern: str) -> Column:
     """All matches with the length of the gap before each and the text around it; nothing is built where none is."""
-    gaps, hits = F.split("text", pattern), F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    every = lambda group: F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
+    ahead = kind == "name"
+    pieces = F.struct(F.split("text", pattern).alias("gaps"), every(0).alias("hits"), *([every(1).alias("rest"), every(2).alias("after")] if ahead else []))
+
+    def row(p: Column, hit: Column, k: Column) -> Column:
+        gap = F.get(p["gaps"], k)
+        if ahead:
+            # Up to 12 matches before, of at least 3 characters each, belong to the text around a name.
+            near = F.zip_with(F.slice(p["gaps"], F.greatest(k - 11, F.lit(1)), F.least(k, F.lit(12))), F.slice(p["hits"], F.greatest(k - 11, F.lit(1)), F.least(k, F.lit(12))), lambda g, h: F.concat(F.right(g, F.lit(40)), h))
+            before, after, whole = F.right(F.concat(F.array_join(near, ""), F.right(gap, F.lit(40))), F.lit(40)), F.get(p["after"], k), F.concat(hit, F.get(p["rest"], k))
+        else:
+            before, after, whole = F.right(gap, F.lit(40)), F.left(F.get(p["gaps"], k + 1), F.lit(10)), hit
+        return F.struct(F.lit(kind).alias("kind"), k.alias("k"), F.length(gap).alias("gap"), F.length(hit).alias("taken"), whole.alias("hit"), before.alias("before"), after.alias("after"))
+
     # The pieces are bound by a lambda, so the text is split once a pattern, not once a match.
-    bound = F.transform(F.array(F.struct(gaps.alias("gaps"), hits.alias("hits"))), lambda p: F.transform(p["hits"], lambda hit, k: F.struct(
-        F.lit(kind).alias("kind"), k.alias("k"), F.length(F.get(p["gaps"], k)).alias("gap"), hit.alias("hit"),
-        F.right(F.get(p["gaps"], k), F.lit(40)).alias("before"), F.left(F.get(p["gaps"], k + 1), F.lit(10)).alias("after"))))
+    bound = F.transform(F.array(pieces), lambda p: F.transform(p["hits"], lambda hit, k: row(p, hit, k)))
     return F.when(F.col("text").rlike(pattern), F.get(bound, F.lit(0)))
 
 
@@ -64,8 +79,9 @@ def matches(texts: DataFrame, patterns: dict[str, str]) -> DataFrame:
     each = texts.select("doc_id", "text_hash", F.explode(F.flatten(F.array_compact(F.array(*(_found(k, p) for k, p in patterns.items()))))).alias("m"))
     each = each.select("doc_id", "text_hash", "m.*").dropDuplicates(["doc_id", "text_hash", "kind", "k"])  # rows that repeat
     before = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    return each.withColumn("end_at", F.sum(F.col("gap") + F.length("hit")).over(before)).select(
-        "doc_id", "text_hash", "kind", "hit", (F.col("end_at") - F.length("hit")).alias("start_at"), "end_at", "before", "after")
+    start = F.sum(F.col("gap") + F.col("taken")).over(before) - F.col("taken")
+    return each.withColumn("start_at", start).select(
+        "doc_id", "text_hash", "kind", "hit", "start_at", (F.col("start_at") + F.length("hit")).alias("end_at"), "before", "after")
 
 
 def _luhn(digits: Column) -> Column:
@@ -173,16 +189,32 @@ def classify(voted: DataFrame) -> DataFrame:
     return voted.filter(odds >= 0)
 
 
+def whole_names(added: DataFrame) -> DataFrame:
+    """Accepted candidates, with names that overlap joined to one span."""
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("start_at", "end_at")
+    reach = F.max("end_at").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    names = added.filter("kind = 'name'").withColumn("_begins", F.coalesce(F.col("start_at") >= reach, F.lit(True)))
+    names = names.withColumn("_island", F.sum(F.col("_begins").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = F.array_sort(F.collect_list(F.struct("start_at", "end_at", "hit")))
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("hit"))
+    joined = F.aggregate("_parts", start, lambda s, x: F.struct(
+        F.greatest(s["end"], x["end_at"]).alias("end"),
+        F.when(s["hit"] == "", x["hit"]).otherwise(F.concat(s["hit"], F.right(x["hit"], F.greatest(x["end_at"] - s["end"], F.lit(0)).cast("int")))).alias("hit")))
+    merged = names.groupBy("doc_id", "text_hash", "kind", "_island").agg(parts.alias("_parts")).withColumn("_joined", joined).select(
+        "doc_id", "text_hash", "kind", F.get("_parts", F.lit(0))["start_at"].alias("start_at"), F.col("_joined.end").alias("end_at"), F.col("_joined.hit").alias("hit"))
+    return added.filter("kind <> 'name'").select(merged.columns).unionByName(merged)
+
+
 def find_spans(docs: DataFrame) -> DataFrame:
     """All spans: doc_id, text_hash, kind, start_at, end_at, hit, is_base.
 
     Fixed patterns whose matches are valid are base spans. Candidates are added where the classifier takes them and no
-    base span overlaps. Rows equal in doc_id and text count once; null texts have no spans.
+    base span overlaps; names that overlap are one span. Rows equal in doc_id and text count once; null texts have no spans.
     """
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     found = materialise(matches(texts, BASE | CANDIDATES), "matches")
     base = found.filter(F.col("kind").isin(*BASE)).filter(valid_base(F.col("kind"), F.col("hit"))).withColumn("is_base", F.lit(True))
-    added = classify(votes(found.filter(F.col("kind").isin(*CANDIDATES)))).withColumn("is_base", F.lit(False))
+    added = whole_names(classify(votes(found.filter(F.col("kind").isin(*CANDIDATES))))).withColumn("is_base", F.lit(False))
     columns = ["doc_id", "text_hash", "kind", "start_at", "end_at", "hit", "is_base"]
     both = base.select(columns).unionByName(added.select(columns))
     order = Window.partitionBy("doc_id", "text_hash").orderBy("start_at", F.desc("is_base"))

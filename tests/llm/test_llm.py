@@ -466,3 +466,18 @@ def test_values_in_every_context():
     assert [(a, b) for _, a, b, _ in guess_cost.scan("pwd: #%&!?*~", words, 10.0)] == [(5, 12)]
     assert guess_cost.scan("the bearer of the certificate, bearer certificate", words, 10.0) == []
     assert [(k, a, b) for k, a, b, _ in guess_cost.scan("auth=pwd=xK9#mQ2$vL7p!", words, 10.0)] == [("guess", 5, 22)]
+
+
+def test_names_after_capitalised_words(spark):
+    texts = {1: ("Dear Anna Smith, thanks", "Anna Smith"), 2: ("Yesterday Maria Lopez called", "Maria Lopez"), 3: ("Contact Paul Anna Jones today", "Anna Jones"), 4: ("Dear Mr. Brown, hello", "Mr. Brown"),
+             5: ("\U0001f600 é Author Emma Stone", "Emma Stone"), 6: ("Signed Dr. Mary Ann Hill.", "Dr. Mary Ann")}
+    rows = [(k, t) for k, (t, _) in texts.items()] + [(100 + k, f"The Red{'abcdefghij'[k % 10]} House stands and Big{'klmnopqrst'[k % 10]} Tree grows") for k in range(40)]
+    docs = docs_of(spark, rows)
+    found = weak_pii.matches(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), {"name": weak_pii.CANDIDATES["name"]}).collect()
+    assert {(r.doc_id, r.hit) for r in found if r.doc_id in (1, 4)} == {(1, "Dear Anna"), (1, "Anna Smith"), (4, "Dear Mr"), (4, "Mr. Brown")}
+    by = dict(rows)
+    assert all(by[r.doc_id][r.start_at : r.end_at] == r.hit and by[r.doc_id][: r.start_at][-40:] == r.before and by[r.doc_id][r.end_at :][:10] == r.after for r in found)
+    spans = weak_pii.find_spans(docs).collect()
+    assert all(by[r.doc_id][r.start_at : r.end_at] == r.hit for r in spans)
+    assert all((key, name) in {(r.doc_id, r.hit) for r in found} for key, (_, name) in texts.items())
+    assert {(1, "Anna Smith"), (3, "Paul Anna Jones"), (5, "Emma Stone")} <= {(r.doc_id, r.hit) for r in spans}
