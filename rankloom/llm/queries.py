@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import byte_bpe, decontaminate, guess_cost, html_crf, jaccard_join, line_dedup, prefix_forest, rule_ensemble, warc, weak_pii
+from rankloom.llm import byte_bpe, decontaminate, exact_search, guess_cost, html_crf, jaccard_join, line_dedup, prefix_forest, prefix_trie, rule_ensemble, warc, weak_pii
 from rankloom.llm.common import table
 from rankloom.session import scratch_path
 
@@ -61,6 +61,18 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_repeated_windows(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_search.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return exact_search.top_k(rows, rows.filter("vec_id % 100 = 0"), k=10, scale=1024.0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    indexed = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    turns = prefix_trie.rebuilt(indexed, conv - conv % 100, F.crc32(conv.cast("string").cast("binary")) % 6, most=5)
+    return prefix_trie.with_digests(*prefix_trie.prefix_trie(turns))
+
+
 def near_duplicate_stage(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates: five words, similarity 0.8; the smallest doc_id of the group stays.
 
@@ -73,10 +85,12 @@ def near_duplicate_stage(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_template_decontamination, op2_prefix_forest, op3_weak_pii, op4_heavy_light_jaccard, op5_html_crf, op6_guess_cost,
-    op7_warc_revisits, op8_byte_bpe, op9_rule_ensemble, op10_line_windows)}
+    op7_warc_revisits, op8_byte_bpe, op9_rule_ensemble, op10_line_windows, op11_exact_search, op12_prefix_trie)}
 
 ORACLE: dict[str, str] = {
     "op10_line_windows": line_dedup.ORACLE,
+    "op11_exact_search": exact_search.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
     "op7_warc_revisits": """
         SELECT page_id, url, payload_bytes, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to,
