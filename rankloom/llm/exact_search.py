@@ -82,6 +82,7 @@ class Postings:
             for t in terms:
                 rows, weight = self._lists[t]
                 total[slice(None) if rows is None else rows] += np.array([int(x) for x in weight], dtype=object) * int(query[t])
+            total = np.array([max(-LONG - 1, min(LONG, x)) for x in total], dtype=np.int64)
         return total if len(self.ids) == len(self._own) else np.maximum.reduceat(total, self._first)
 
     def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,8 +120,6 @@ def search_shard(batches: Iterator[pa.RecordBatch], k: int, scale: float) -> Ite
         query_ids = asked.column("vec_id").to_numpy()
         found = [postings.best(q, value[a:b], k) for q, a, b in zip(query_ids, bounds[:-1], bounds[1:], strict=True)]
         score = np.concatenate([s for _, s in found])
-        if score.dtype == object:
-            score = np.array([max(-LONG - 1, min(LONG, int(s))) for s in score], dtype=np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(query_ids, [len(i) for i, _ in found])), pa.array(np.concatenate([i for i, _ in found])), pa.array(score)],
             names=["query_id", "vec_id", "score"])
@@ -132,7 +131,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.
     ``rows`` and ``queries`` have vec_id and vector, as ``usable`` gives them; components count as floor(scale * x). Ties go
     to the smaller id. A row is no candidate of a query with its own id. Rows that share an id are one candidate, or one
     query, with the highest of their scores. Missing components of a shorter vector count as 0, and an empty vector scores 0
-    with all. Scores beyond a long are cut to its limits. Without rows the result is empty; with fewer than ``k``
+    with all. Scores beyond a long are cut to its limits before they are ranked. Without rows the result is empty; with fewer than ``k``
     candidates all are returned.
 
     Shards hold a bounded number of components, so a task's memory doesn't grow; each query is sent to each shard once.

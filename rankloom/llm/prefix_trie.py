@@ -114,10 +114,10 @@ def segments(turns: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def shard_nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Records of the nodes that the rows of one shard take part in."""
-    rows = pa.Table.from_batches(list(batches))
-    if not rows.num_rows:
+    parts = [batch for batch in batches if batch.num_rows]
+    if not parts:
         return
-    rows = rows.combine_chunks()
+    rows = pa.Table.from_batches(parts).combine_chunks()
     column = {name: rows.column(name).to_numpy() for name in rows.column_names if name != "ids"}
     ids = rows.column("ids").chunk(0)
     sizes = np.asarray(ids.value_lengths())

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import byte_bpe, decontaminate, exact_search, guess_cost, html_crf, jaccard_join, line_dedup, prefix_forest, prefix_trie, rule_ensemble, warc, weak_pii
+from rankloom.llm import byte_bpe, decontaminate, exact_search, guess_cost, html_crf, jaccard_join, line_dedup, periodic_runs, prefix_forest, prefix_trie, rule_ensemble, warc, weak_pii
 from rankloom.llm.common import table
 from rankloom.session import scratch_path
 
@@ -73,6 +73,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.with_digests(*prefix_trie.prefix_trie(turns))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    seed = F.when(F.col("h") % 10 == 0, F.floor(F.col("h") / 10))
+    text = F.when(seed.isNull(), F.col("text")).otherwise(periodic_runs.repeated(F.col("text"), seed))
+    return periodic_runs.summarise(periodic_runs.periodic_runs(docs.select("doc_id", text.alias("text"))))
+
+
 def near_duplicate_stage(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates: five words, similarity 0.8; the smallest doc_id of the group stays.
 
@@ -85,7 +92,7 @@ def near_duplicate_stage(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_template_decontamination, op2_prefix_forest, op3_weak_pii, op4_heavy_light_jaccard, op5_html_crf, op6_guess_cost,
-    op7_warc_revisits, op8_byte_bpe, op9_rule_ensemble, op10_line_windows, op11_exact_search, op12_prefix_trie)}
+    op7_warc_revisits, op8_byte_bpe, op9_rule_ensemble, op10_line_windows, op11_exact_search, op12_prefix_trie, op13_periodic_runs)}
 
 ORACLE: dict[str, str] = {
     "op10_line_windows": line_dedup.ORACLE,
