@@ -36,6 +36,30 @@ def join_hot(left: DataFrame, right: DataFrame, keys: list[str], count: str, how
     )
 
 
+def join_salted(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame) -> DataFrame:
+    """Inner join of ``left`` to ``right``, which has each key once and may have rows of any size.
+
+    ``counts`` has each key of ``left`` with its number of rows in ``many``; it should be a written table. A key with over
+    1/HOT_SHARE of the rows is split by a hash of the left row, and its right row goes to each of its parts. All that is
+    broadcast are the names of these keys, fewer than HOT_SHARE by arithmetic.
+    """
+    limit = (counts.agg(F.sum("many").alias("total")).first()["total"] or 0) // HOT_SHARE
+    hot = counts.filter(F.col("many") > limit).select(*keys, F.ceil(F.col("many") / limit).cast("int").alias("_parts")) if limit else None
+    if hot is None:
+        return left.join(right, keys)
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("_part", F.pmod(F.xxhash64(*left.columns), parts).cast("int")).drop("_parts")
+    copies = right.join(F.broadcast(hot), keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copies, [*keys, "_part"]).drop("_part")
+
+
+def cut(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``rows`` at most, so that what is made of a batch stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def numbered(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 

@@ -28,12 +28,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import join_hot, shingle_sets
+from rankloom.llm.common import cut as small_batches
+from rankloom.llm.common import join_hot, join_salted, shingle_sets
 from rankloom.llm.components import components
 from rankloom.session import materialise
 
 _TABLE_BITS = 26
 _COUNTED = 1 << 20
+#: Shingles gathered before they are sent by part.
+_GATHERED = 1 << 18
 #: Shared shingles that a pair must show among the rarest ones of both sets before whole sets are compared.
 _SHOWN = 9
 #: Sets larger than this are never light.
@@ -71,14 +74,14 @@ def shingle_frequencies(docs: DataFrame, width: int) -> tuple[np.ndarray, np.nda
     own_bits, most = (1 << _TABLE_BITS) // parts, max(1, _COUNTED // parts)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             seen, sets, size = set(), [], 0
             for found in itertools.chain(shingle_sets(batch.column(0), width), [None]):
                 if found is not None and (digest := xxhash.xxh3_128_digest(found.tobytes())) not in seen:
                     seen.add(digest)
                     sets.append(found)
                     size += len(found)
-                if size > 1 << 22 or (found is None and size):
+                if size > _GATHERED or (found is None and size):
                     codes = np.concatenate(sets)
                     part = (codes & np.uint64(parts - 1)).astype(np.int32)
                     order = np.argsort(part, kind="stable")
@@ -140,13 +143,13 @@ def shingle_rows(docs: DataFrame, width: int, percent: int, order: Broadcast) ->
     """doc_id, n, digest of the set, and its rare shingles that occur elsewhere: ``prefix`` for the lists, ``shown`` to
     compare before whole sets are; ``small`` has the whole set where it may be light, and ``typical`` says how common its
     shingles are: high for the original of a group, low for a member of it with many changes."""
-    schema = "doc_id long, n long, digest binary, typical double, prefix array<long>, shown array<long>, small array<long>"
+    schema = "doc_id long, text_hash long, n long, digest binary, typical double, prefix array<long>, shown array<long>, small array<long>"
     longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             n, digest, typical, prefix, shown, small = [], [], [], [], [], []
-            for found in shingle_sets(batch.column(1), width):
+            for found in shingle_sets(batch.column(2), width):
                 weight = order.value.weights(found)
                 rank = np.lexsort((found, weight))
                 most = _kept(len(found), percent)
@@ -158,10 +161,10 @@ def shingle_rows(docs: DataFrame, width: int, percent: int, order: Broadcast) ->
                 shown.append(cut(most + _SHOWN - 1))
                 small.append(_longs(found) if len(found) <= _LIGHT_MOST else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(typical, pa.float64()), pa.array(prefix, longs), pa.array(shown, longs), pa.array(small, longs)],
-                ["doc_id", "n", "digest", "typical", "prefix", "shown", "small"])
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(typical, pa.float64()), pa.array(prefix, longs), pa.array(shown, longs), pa.array(small, longs)],
+                ["doc_id", "text_hash", "n", "digest", "typical", "prefix", "shown", "small"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
 def light_links(nodes: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +174,7 @@ def light_links(nodes: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for node, small in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 keys = [(size, xxhash.xxh3_64_intdigest(np.array(s, np.int64).tobytes()) - (1 << 63)) for size in subset_sizes(len(small), percent) for s in itertools.combinations(small, size)]
                 yield pa.RecordBatch.from_arrays(
@@ -199,26 +202,34 @@ def _sized(percent: int, a: str = "n_a", b: str = "n_b"):
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """Pairs of each a: many of them where a is the pivot of long lists."""
+    return materialise(pairs.groupBy("a").agg(F.count("*").alias("many")), "ends")
+
+
 def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sizes that fit which share enough of their rare shingles."""
+    """Pairs (a, b) of sizes that fit which share enough of their rare shingles. ``pairs`` should be a written table."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("shown").alias(f"shown_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(_sized(percent))
+    both = join_salted(pairs.join(side("b"), "b"), side("a"), ["a"], _ends(pairs)).filter(_sized(percent))
     need = F.expr(f"least({_SHOWN}, ceil({percent} * (n_a + n_b) / {100 + percent}.0))")
     return both.filter(F.size(F.array_intersect("shown_a", "shown_b")) >= need).select("a", "b")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and its packed set for the nodes in ``wanted`` (node, doc_id, digest)."""
+    """node and its packed set for the nodes in ``wanted`` (node, doc_id, text_hash, digest).
+
+    Texts are found by id and hash, so rows with the same id (or none) and other texts don't meet; equal rows become one first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             node, own = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             kept = [(i, found.tobytes()) for i, d, found in zip(node, own, shingle_sets(batch.column(2), width), strict=True) if xxhash.xxh3_128_digest(found.tobytes()) == d]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.binary())], ["node", "shingles"])
 
-    texts = docs.select(F.col("doc_id").alias("_doc_id"), "text")
-    joined = wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("_doc_id"))).select("node", "digest", "text")
-    return joined.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
+    texts = docs.groupBy(F.col("doc_id").cast("long").alias("_doc_id"), F.xxhash64("text").alias("_text_hash")).agg(F.first("text").alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
+    return wanted.join(texts, same).select("node", "digest", "text").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
 
 def _linked(a: bytes, b: bytes, percent: int) -> bool:
@@ -231,13 +242,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             a, b, x, y = (c.to_pylist() for c in batch.columns)
             good = [k for k in range(len(a)) if _linked(x[k], y[k], percent)]
             yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in good], pa.int64()), pa.array([b[k] for k in good], pa.int64())], ["a", "b"])
 
     side = lambda n, s: sets.select(F.col("node").alias(n), F.col("shingles").alias(s))
-    return pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    both = join_salted(pairs.join(side("b", "y"), "b"), side("a", "x"), ["a"], _ends(pairs))
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def difference_rows(members: DataFrame, sets: DataFrame, percent: int, order: Broadcast) -> DataFrame:
@@ -245,25 +257,26 @@ def difference_rows(members: DataFrame, sets: DataFrame, percent: int, order: Br
     shingles of the difference that two linked members can't both miss, rare first and those of the pivot last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for batch in (big.slice(k, 500) for k in range(0, big.num_rows, 500)):
-                out: list[list] = [[], [], [], [], [], []]
-                for pivot, node, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    p, own = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    more, less = np.setdiff1d(own, p, assume_unique=True), np.setdiff1d(p, own, assume_unique=True)
-                    weight = order.value.weights(more)
-                    ranked = np.concatenate([more[np.lexsort((more, weight))], less])
-                    alone = int((weight == 0).sum())  # in no other set, and first in order
-                    # Two linked sets differ by at most (100 - percent) % of their union, and that is at most n / percent %.
-                    apart = (100 - percent) * len(own) // percent
-                    most = len(ranked) - max(1, len(ranked) - apart) + 1
-                    useful = list(range(alone, max(alone, min(most, len(ranked)))))
-                    for values, column in zip(([pivot] * len(useful), [node] * len(useful), [len(own)] * len(useful), [len(ranked)] * len(useful), useful, _longs(ranked[useful])), out, strict=True):
-                        column += values
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["pivot", "node", "n", "d", "k", "shingle"])
+        for batch in small_batches(batches):
+            out: list[list] = [[], [], [], [], [], []]
+            for pivot, node, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                p, own = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                more, less = np.setdiff1d(own, p, assume_unique=True), np.setdiff1d(p, own, assume_unique=True)
+                weight = order.value.weights(more)
+                ranked = np.concatenate([more[np.lexsort((more, weight))], less])
+                alone = int((weight == 0).sum())  # in no other set, and first in order
+                # Two linked sets differ by at most (100 - percent) % of their union, and that is at most n / percent %.
+                apart = (100 - percent) * len(own) // percent
+                most = len(ranked) - max(1, len(ranked) - apart) + 1
+                useful = list(range(alone, max(alone, min(most, len(ranked)))))
+                for values, column in zip(([pivot] * len(useful), [node] * len(useful), [len(own)] * len(useful), [len(ranked)] * len(useful), useful, _longs(ranked[useful])), out, strict=True):
+                    column += values
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["pivot", "node", "n", "d", "k", "shingle"])
 
     side = lambda n, s: sets.select(F.col("node").alias(n), F.col("shingles").alias(s))
-    return members.join(side("node", "y"), "node").join(side("pivot", "x"), "pivot").select("pivot", "node", "x", "y").mapInArrow(run, "pivot long, node long, n long, d long, k long, shingle long")
+    many = materialise(members.groupBy("pivot").agg(F.count("*").alias("many")), "pivots")
+    both = join_salted(members.join(side("node", "y"), "node"), side("pivot", "x"), ["pivot"], many)
+    return both.select("pivot", "node", "x", "y").mapInArrow(run, "pivot long, node long, n long, d long, k long, shingle long")
 
 
 def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -284,8 +297,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85, long_lis
     order = docs.sparkSession.sparkContext.broadcast(_Order(shingle_frequencies(docs, width)))
     rows = materialise(shingle_rows(docs, width, percent, order), "shingles")
     filled = rows.filter("n > 0")
+    source = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     nodes = materialise(filled.groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("prefix").alias("prefix"), F.first("shown").alias("shown"), F.first("small").alias("small"),
+        F.min(source)["doc_id"].alias("doc_id"), F.min(source)["text_hash"].alias("text_hash"), F.first("n").alias("n"), F.first("typical").alias("typical"), F.first("prefix").alias("prefix"), F.first("shown").alias("shown"), F.first("small").alias("small"),
     ).withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # Lists of two or more nodes.
@@ -301,9 +315,10 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85, long_lis
 
     # Everyone against the most typical node of each list.
     star = heavy.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    star = materialise(star, "star-candidates")
     star = materialise(_plausible(star, nodes, percent), "star")
     long_members = materialise(heavy.filter(F.col("length") > long_list).select("pivot", "node").distinct(), "members")
-    keys = nodes.select("node", "doc_id", "digest")
+    keys = nodes.select("node", "doc_id", "text_hash", "digest")
     ends = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).unionByName(long_members.select("node"))
     sets = materialise(whole_sets(docs, keys.join(ends.distinct(), "node"), width), "sets")
     links.append(verified(star, sets, percent))
@@ -316,7 +331,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 85, long_lis
     short = short.join(mixed, "shingle")
     x, y = short.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "c"))), short.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "c")))
     rest = x.join(y, "shingle").filter(F.expr("node_a < node_b and c_a <> c_b") & _sized(percent)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    rest = _plausible(rest.join(star, ["a", "b"], "left_anti"), nodes, percent)
+    rest = _plausible(materialise(rest.join(star, ["a", "b"], "left_anti"), "short-candidates"), nodes, percent)
 
     # Members of long lists, by their differences.
     differing = difference_rows(long_members, sets, percent, order).join(known, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
