@@ -2,54 +2,97 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import keyword_words, split_dropping_tail
 
 SNIPPET_PARTS = 5
+#: Stands for a matched character; no character of any text.
+MARK = "￿"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def quoted(word: Column) -> Column:
-    """Regular expression matching ``word`` literally."""
-    return F.concat(F.lit(r"\Q"), F.replace(word, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def highlight(text: Column, keyword: Column, tag: str) -> Column:
-    """Wrap every query word in a tag, word after word, ignoring ASCII case.
+def fold(text: Column) -> Column:
+    """A-Z in small letters; keeps the number of characters."""
+    return F.translate(text, _UPPER, _LOWER)
+
+
+def query_words(keyword: Column) -> Column:
+    return F.transform(keyword_words(keyword), F.lower)
 
-    A later word can match inside a tag an earlier word added.
+
+def mark_words(text: Column, words: Column, tag: str) -> Column:
+    """``text`` with a tag around what the words cover, ignoring ASCII case.
+
+    Every word is matched on the original text, from left to right; matches that overlap or touch share one tag. The
+    result is longer than the text by a pair of tags per stretch at most, however many words there are.
     """
-    marked = F.lit(f"<{tag}>$0</{tag}>")
+    def stretch(x: Column) -> Column:
+        covered = F.transform(x["chars"], lambda _, i: F.exists(x["masks"], lambda mask: F.get(mask, i) == MARK))
+        return let(F.struct(x["chars"].alias("chars"), covered.alias("on")), lambda y: F.array_join(F.transform(y["chars"], lambda c, i: F.concat(
+            F.when(F.get(y["on"], i) & ((i == 0) | ~F.get(y["on"], F.greatest(i - 1, F.lit(0)))), F.lit(f"<{tag}>")).otherwise(F.lit("")), c,
+            F.when(F.get(y["on"], i) & ~F.coalesce(F.get(y["on"], i + 1), F.lit(False)), F.lit(f"</{tag}>")).otherwise(F.lit("")))), ""))
 
-    def wrap(done: Column, word: Column) -> Column:
-        # Most texts lack most words; a substring test saves compiling a pattern for them.
-        found = F.contains(F.lower(done), word)
-        return F.when(found, F.regexp_replace(done, F.concat(F.lit("(?i)"), quoted(word)), marked)).otherwise(done)
+    def marked(x: Column) -> Column:
+        masks = F.transform(x["found"], lambda w: F.split(F.replace(x["low"], w, F.repeat(F.lit(MARK), F.length(w))), ""))
+        return F.when(F.size(x["found"]) == 0, x["text"]).otherwise(
+            let(F.struct(F.split(x["text"], "").alias("chars"), masks.alias("masks")), stretch))
 
-    return F.reduce(F.transform(keyword_words(keyword), F.lower), text, wrap)
+    bound = let(F.struct(text.alias("text"), fold(text).alias("low"), words.alias("words")), lambda x: F.struct(
+        x["text"].alias("text"), x["low"].alias("low"), F.array_distinct(F.filter(x["words"], lambda w: F.contains(x["low"], w))).alias("found")))
+    return F.when(text == "", text).otherwise(let(bound, marked))
+
+
+def highlight(text: Column, keyword: Column, tag: str) -> Column:
+    """Mark all words of a query text."""
+    return let(query_words(keyword), lambda words: mark_words(text, words, tag))
 
 
 def one_line(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "\r\n|\r|\n", " "), "[ ]+", " ")
 
 
-def _sentence_score(sentence: Column, words: Column) -> Column:
-    """20 x the rarest word's count plus all counts; counts take the blanks around a word."""
-    def count(word: Column) -> Column:
-        pattern = F.concat(F.lit("(?i)[ ]+"), quoted(word), F.lit("[ ]+"))
-        return F.when(F.contains(F.lower(sentence), word), F.regexp_count(sentence, pattern)).otherwise(0)
+def _counted_words(sentence: Column) -> Column:
+    """Words of a sentence with blanks on both sides. As a match takes the blanks around it, every other word of a row of equal ones counts."""
+    def odd(words: Column, word: Column, i: Column) -> Column:
+        row = F.array_position(F.transform(F.reverse(F.slice(words, F.lit(1), i)), lambda w: w != word), F.lit(True))
+        return F.when((i == 0) | (F.get(words, F.greatest(i - 1, F.lit(0))) != word), True).otherwise(
+            F.when(row > 0, row - 1).otherwise(i) % 2 == 0)
+
+    inner = let(F.split(fold(sentence), "[ ]+"), lambda parts: F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))))
+    return let(inner, lambda words: F.filter(words, lambda word, i: odd(words, word, i)))
 
-    counts = F.transform(words, count)
-    total = F.reduce(counts, F.lit(0), lambda acc, n: acc + n)
-    return F.coalesce(F.array_min(counts), F.lit(0)) * 20 + total
+
+def _sentence_score(sentence: Column, query: Column) -> Column:
+    """20 x the rarest word's count plus all counts. ``query`` has the words and the distinct ones, in a struct.
+
+    The sentence is split once; only words it shares with the query are counted.
+    """
+    def score(x: Column) -> Column:
+        shared = F.array_intersect(query["distinct"], x)
+        counts = F.transform(shared, lambda w: F.struct(
+            F.size(F.filter(x, lambda t: t == w)).alias("n"), F.size(F.filter(query["words"], lambda q: q == w)).alias("times")))
+        return let(counts, lambda c: F.when(
+            (F.size(c) > 0) & (F.size(c) == F.size(query["distinct"])), F.array_min(F.transform(c, lambda e: e["n"])) * 20).otherwise(0)
+            + F.reduce(c, F.lit(0), lambda total, e: total + e["n"] * e["times"]))
+
+    return let(_counted_words(sentence), score)
 
 
 def sentence_snippet(text: Column, keyword: Column) -> Column:
     """Five best sentences, best first and equal ones in text order, highlighted on one line."""
-    words = F.transform(keyword_words(keyword), F.lower)
-    sentences = split_dropping_tail(text, "[,;.\n]")
-    ranked = F.array_sort(F.transform(sentences, lambda sentence, i: F.struct(
-        (-_sentence_score(sentence, words)).alias("order"), i.alias("i"), sentence.alias("sentence"))))
-    best = F.transform(F.slice(ranked, 1, SNIPPET_PARTS), lambda r: one_line(highlight(r["sentence"], keyword, "b")))
-    return F.concat(F.lit("... "), F.array_join(best, " ... "), F.lit(" ..."))
+    def snippet(query: Column) -> Column:
+        ranked = F.array_sort(F.transform(split_dropping_tail(text, "[,;.\n]"), lambda sentence, i: F.struct(
+            (-_sentence_score(sentence, query)).alias("order"), i.alias("i"), sentence.alias("sentence"))))
+        best = F.transform(F.slice(ranked, 1, SNIPPET_PARTS), lambda r: one_line(mark_words(r["sentence"], query["distinct"], "b")))
+        return F.concat(F.lit("... "), F.array_join(best, " ... "), F.lit(" ..."))
+
+    return let(let(query_words(keyword), lambda w: F.struct(w.alias("words"), F.array_distinct(w).alias("distinct"))), snippet)

@@ -64,10 +64,8 @@ def _without_tail(parts: str) -> str:
 
 
 def _highlight(text: str, words: str, tag: str) -> str:
-    """Word after word; fixed words only, innermost first."""
-    for word in words.split():
-        text = rf"regexp_replace({text}, '(?i){word}', '<{tag}>\0</{tag}>', 'g')"
-    return text
+    """Fixed words, none of which can overlap another in part."""
+    return rf"regexp_replace({text}, '(?i)(?:{'|'.join(sorted(words.split(), key=len, reverse=True))})+', '<{tag}>\0</{tag}>', 'g')"
 
 
 def _case(column: str, values: dict[int, float]) -> str:
@@ -93,10 +91,17 @@ def _query_values() -> str:
 _PAGE_STAMP = "'%Y-%m-%d %H:%M'"
 
 
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
 def _marked(text: str, words: str, tag: str) -> str:
-    """Highlight a column of query words in a text, word after word."""
-    return (rf"list_reduce(list_prepend({text}, {words}), "
-            rf"lambda done, w: regexp_replace(done, '(?i)' || regexp_escape(w), '<{tag}>\0</{tag}>', 'g'))")
+    """Tags around what a column of query words covers in a text: each word masks its matches, masks are laid over one another."""
+    low = f"translate({text}, {_FOLD})"
+    found = f"list_filter(list_distinct({words}), lambda w: contains({low}, w))"
+    masks = f"list_transform({found}, lambda w: replace({low}, w, repeat(chr(65535), length(w))))"
+    on = f"list_transform(range(1, length({text}) + 1), lambda i: len(list_filter({masks}, lambda m: m[i] = chr(65535))) > 0)"
+    return (f"CASE WHEN {text} = '' OR len({found}) = 0 THEN {text} ELSE list_reduce(list_prepend('', list_transform(list_zip(string_split({text}, ''), {on}, list_prepend(false, {on})), "
+            f"lambda z, i: CASE WHEN coalesce(z[2], false) AND NOT z[3] THEN '<{tag}>' WHEN z[3] AND NOT coalesce(z[2], false) THEN '</{tag}>' ELSE '' END || coalesce(z[1], ''))), lambda x, y: x || y) END")
 
 
 _LINE = rf"regexp_replace(regexp_replace({_marked('s', 'kw', 'b')}, '\r\n|\r|\n', ' ', 'g'), '[ ]+', ' ', 'g')"

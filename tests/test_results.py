@@ -1,8 +1,10 @@
 import json
+import random
+import re
 
 from pyspark.sql import functions as F
 
-from rankloom.functions.highlight import highlight, sentence_snippet
+from rankloom.functions.highlight import _sentence_score, highlight, let, query_words, sentence_snippet
 from rankloom.functions.json_pointer import json_pointer
 from rankloom.operators.requests import METHODS, bad_method, parse_requests
 from rankloom.operators.results import fragment_snippets, paginate
@@ -14,12 +16,37 @@ def one(spark, column):
 
 def test_highlight(spark):
     assert one(spark, highlight(F.lit("Red fox, REDder"), F.lit("red FOX"), "b")) == "<b>Red</b> <b>fox</b>, <b>RED</b>der"
-    # A later word also matches inside an earlier tag.
-    assert one(spark, highlight(F.lit("ax"), F.lit("a b"), "b")) == "<<b>b</b>>a</<b>b</b>>x"
+    # Words are matched on the text alone, never inside a tag; what overlaps or touches shares one.
+    assert one(spark, highlight(F.lit("ax"), F.lit("a b"), "b")) == "<b>a</b>x"
+    assert one(spark, highlight(F.lit("thent thn AAA"), F.lit("then ent aa t"), "b")) == "<b>thent</b> <b>t</b>hn <b>AA</b>A"
+    assert one(spark, highlight(F.lit("É é Ünder"), F.lit("É ünder"), "b")) == "É <b>é</b> Ünder"
     assert one(spark, highlight(F.lit(r"a.c\E $1"), F.lit(r". \e $1"), "i")) == r"a<i>.</i>c<i>\E</i> <i>$1</i>"
     assert one(spark, highlight(F.lit("plain"), F.lit(""), "b")) == "plain"
 
 
+def test_highlight_grows_by_its_stretches_only(spark):
+    text = "A man ran as an ant. " * 20
+    keyword = "a an s span p n " + "a " * 12
+    got = one(spark, highlight(F.lit(text), F.lit(keyword), "span"))
+    assert got == "<span>A</span> m<span>an</span> r<span>an</span> <span>as</span> <span>an</span> <span>an</span>t. " * 20
+
+
+def counted(sentence, word):
+    return len(re.findall(f"(?i)[ ]+{re.escape(word)}[ ]+", sentence))
+
+
+def test_sentence_scores_against_patterns(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["a", "b", "A", "ab", "x", " ", " ", "  "]) for _ in range(rng.randrange(40))) for _ in range(300)]
+    keywords = ["a", "a b", "a a ab", "x b a", "b", ""]
+    rows = [(t, k) for t in texts for k in keywords]
+    score = let(F.struct(query_words(F.col("k")).alias("words"), F.array_distinct(query_words(F.col("k"))).alias("distinct")), lambda q: _sentence_score(F.col("t"), q))
+    got = spark.createDataFrame(rows, "t string, k string").select("t", "k", score.alias("s")).collect()
+    for r in got:
+        n = [counted(r.t, w) for w in r.k.split()]
+        assert r.s == 20 * min(n, default=0) + sum(n), r
+
+
 def test_sentence_snippet(spark):
     text = "none here. a fox runs,\nthe red fox sat; w w w , red fox red . end"
     got = one(spark, sentence_snippet(F.lit(text), F.lit("red fox")))
