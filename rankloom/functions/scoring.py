@@ -71,16 +71,21 @@ class BooleanParams:
     page_size: int = 10
 
 
+def bm25_tf_log(tf: Column, doc_len: Column, avg_len: Column, params: SearchParams) -> Column:
+    """The part of the score that depends on the document."""
+    norm = params.k1 * ((1 - params.b) + params.b * doc_len / avg_len)
+    return F.log((params.k1 + 1) * tf / (norm + tf))
+
+
+def bm25_query_log(qf: Column, df: Column, n_docs: Column, params: SearchParams) -> Column:
+    """The part that depends on the query and the word alone."""
+    return F.log((n_docs - df + 0.5) / (df + 0.5)) + F.log((params.k2 + 1) * qf / (params.k2 + qf))
+
+
 def log_sum_bm25(tf: Column, qf: Column, df: Column, doc_len: Column, avg_len: Column, n_docs: Column,
                  params: SearchParams) -> Column:
     """Sum of three logarithms. It is negative for terms in over half of the documents."""
-    k1, k2 = params.k1, params.k2
-    norm = k1 * ((1 - params.b) + params.b * doc_len / avg_len)
-    return (
-        F.log((n_docs - df + 0.5) / (df + 0.5))
-        + F.log((k1 + 1) * tf / (norm + tf))
-        + F.log((k2 + 1) * qf / (k2 + qf))
-    )
+    return bm25_query_log(qf, df, n_docs, params) + bm25_tf_log(tf, doc_len, avg_len, params)
 
 
 def bm25_idf(df: Column, n_docs: Column) -> Column:

@@ -6,11 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions import scoring as sc
-from rankloom.operators.queries import query_slots, split_queries
-from rankloom.operators.search import (
-    IndexTables, combine_fields, query_hits, query_stats, term_hits, top_results, weighted_slots,
-)
-from rankloom.session import materialise
+from rankloom.operators.search import IndexTables, term_hits, weighted_slots
 
 
 def phrase_starts(entries: Column) -> Column:
@@ -57,19 +53,3 @@ def clause_scores(matched: DataFrame, params: sc.BooleanParams = sc.BooleanParam
     })
     total = F.col("phrase_clause") + F.col("all_clause") + F.col("any_clause")
     return clauses.withColumn("score", total * constant("field"))
-
-
-def boolean_search(index: IndexTables, queries: DataFrame,
-                   params: sc.BooleanParams = sc.BooleanParams()) -> tuple[DataFrame, DataFrame]:
-    """Ranked results and hit counts, shaped like those of the primary search.
-
-    Query words are neither stemmed nor filtered, so a stop word leaves phrase and all-terms
-    clauses without a match.
-    """
-    split = split_queries(queries)
-    slots = query_slots(split, stop_words=False)
-    fields = clause_scores(clause_matches(index, slots, params), params)
-    combined = materialise(combine_fields(fields).select("query_id", "doc_id", "text"), "scored")
-    scored = combined.withColumn("total", F.col("text")).withColumn("rank", F.lit(None).cast("double"))
-    best = top_results(scored, params.top_k).withColumn("score", F.col("total").cast("float").cast("string"))
-    return best.select("query_id", "rn", "doc_id", "total", "text", "rank", "score"), query_hits(query_stats(combined), split)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import scoring as sc
 from rankloom.functions.text import CATEGORIES, CONTENT, TITLE
-from rankloom.operators.queries import fields_of_clauses, query_slots, split_queries
+from rankloom.operators.queries import fields_of_clauses
 from rankloom.session import materialise
 
 
@@ -190,25 +190,3 @@ def top_results(scored: DataFrame, k: int = 1000) -> DataFrame:
     return scored.withColumn("rn", F.row_number().over(best)).filter(F.col("rn") <= k)
 
 
-def search(index: IndexTables, queries: DataFrame, with_rank: bool = False, stemmed: bool = False,
-           params: sc.SearchParams = sc.SearchParams()) -> tuple[DataFrame, DataFrame]:
-    """Ranked results (query_id, rn, doc_id, total, text, rank, score) and hit counts (query_id, hits).
-
-    The scored documents are written once: counts, extremes and ranking each need them, and the
-    optimizer would prune every use differently and score again.
-    """
-    split = split_queries(queries)
-    slots = query_slots(split, stemmed)
-    fields = field_scores(match_fields(bm25_terms(index, slots, params)), params)
-    combined = materialise(combine_fields(fields).select("query_id", "doc_id", "text"), "scored")
-    stats = materialise(query_stats(combined), "query-stats")
-    if with_rank:
-        n_docs = index.field_stats.agg(F.max("n_docs")).first()[0] or 0
-        top_rank = index.ranks.agg(F.max("rank")).first()[0] or 0.0
-        scored = blend_rank(normalise_text(combined, stats, params), index.ranks, max(n_docs, 1), top_rank, params)
-        text = sc.score_text(F.col("total"), F.col("text"), F.col("rank"))
-    else:
-        scored = combined.withColumn("total", F.col("text")).withColumn("rank", F.lit(None).cast("double"))
-        text = sc.score_text(F.col("total"))
-    best = top_results(scored, params.top_k).withColumn("score", text)
-    return best.select("query_id", "rn", "doc_id", "total", "text", "rank", "score"), query_hits(stats, split)

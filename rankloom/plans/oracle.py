@@ -560,7 +560,7 @@ ORACLE: dict[str, str] = {
             FROM (SELECT query_id, doc_id, text, coalesce(f.rank, 1.0 / (SELECT count(*) FROM wiki_pages))
                 / (SELECT max(rank) FROM final) * 1000 AS r FROM normalised LEFT JOIN final f USING (doc_id))""",
             "doc_links", None, "normalised", epsilon=1e-6),
-    "topk": _sql("SELECT query_id, rn::INTEGER AS rn, doc_id, round(total, 6) AS total FROM best WHERE rn <= 10", "best"),
+    "topk": _sql("SELECT query_id, rn::INTEGER AS rn, doc_id, round(total, 6) AS total FROM best", "best"),
     "score_text": _sql("SELECT query_id, doc_id, printf('%.8f', round(text, 5)) AS score FROM combined", "combined"),
     "phrase_match": _sql("SELECT query_id, clause, field_id, doc_id, phrase_tf FROM phrases", "phrases"),
     "clause_scores": _sql("""SELECT query_id, clause, field_id, doc_id, round(phrase_clause, 6) AS phrase_clause,

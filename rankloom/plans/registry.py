@@ -17,6 +17,7 @@ from rankloom.operators import frontier as fr
 from rankloom.operators import ids, links, pagerank as pr, postings as po, queries as qs
 from rankloom.operators import requests as rq
 from rankloom.operators import robots
+from rankloom.operators import ranked_search as ranked
 from rankloom.operators import search as se
 from rankloom.operators import results as rs
 from rankloom.operators.dedupe import first_wins, new_rows
@@ -509,10 +510,15 @@ def category_search(spark, sf):
         "query_id", "doc_id", _r("category").alias("category_score"), _r("text").alias("text"))
 
 
+def _search(spark, sf, with_rank: bool) -> tuple[DataFrame, DataFrame]:
+    tables_ = v.index(spark, sf, with_rank=with_rank).search_tables(with_rank=with_rank)
+    return ranked.search(tables_, v.queries_table(spark), with_rank)
+
+
 @query
 def hits(spark, sf):
     """F12, F17."""
-    return se.query_hits(se.query_stats(_combined(spark, sf)), _split(spark))
+    return _search(spark, sf, False)[1]
 
 
 @query
@@ -522,11 +528,6 @@ def minmax_norm(spark, sf):
     return se.normalise_text(combined, se.query_stats(combined)).select("query_id", "doc_id", _r("text").alias("text"))
 
 
-def _search(spark, sf, with_rank: bool) -> tuple[DataFrame, DataFrame]:
-    tables_ = v.index(spark, sf, with_rank=with_rank).search_tables(with_rank=with_rank)
-    return se.search(tables_, v.queries_table(spark), with_rank)
-
-
 @query
 def rank_blend(spark, sf):
     """F14."""
@@ -536,9 +537,8 @@ def rank_blend(spark, sf):
 
 @query
 def topk(spark, sf):
-    """the ten best of every query."""
-    best = se.top_results(_combined(spark, sf).withColumn("total", F.round("text", 9)), 10)
-    return best.select("query_id", F.col("rn").cast("int").alias("rn"), "doc_id", _r("total").alias("total"))
+    """the thousand best of every query."""
+    return _search(spark, sf, False)[0].select("query_id", F.col("rn").cast("int").alias("rn"), "doc_id", _r("total").alias("total"))
 
 
 @query
@@ -573,7 +573,7 @@ def clause_scores(spark, sf):
 @query
 def boolean_rank(spark, sf):
     """G5."""
-    found, n = bs.boolean_search(v.index(spark, sf).search_tables(serving.STANDARD), v.queries_table(spark))
+    found, n = ranked.boolean_search(v.index(spark, sf).search_tables(serving.STANDARD), v.queries_table(spark))
     return found.join(n, "query_id").select("query_id", "doc_id", "hits", _r("total").alias("total"))
 
 

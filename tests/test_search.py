@@ -5,7 +5,7 @@ from conftest import RANKS
 from rankloom.operators import postings as po
 from rankloom.operators import queries as qs
 from rankloom.operators import search as se
-from rankloom.operators.boolean_search import boolean_search
+from rankloom.operators.ranked_search import boolean_search, search
 from rankloom.operators.pagerank import pagerank
 
 
@@ -21,7 +21,7 @@ def index(docs):
 
 def run(spark, index, raws, **options):
     asked = spark.createDataFrame(list(enumerate(raws)), "query_id bigint, raw string")
-    results, hits = se.search(index, asked, **options)
+    results, hits = search(index, asked, **options)
     rows = results.orderBy("query_id", "rn").collect()
     return rows, {r.query_id: r.hits for r in hits.collect()}
 
