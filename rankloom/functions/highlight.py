@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from rankloom.functions.text import keyword_words, split_dropping_tail
 
 SNIPPET_PARTS = 5
-#: Stands for a matched character; no character of any text.
-MARK = "￿"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -29,22 +27,58 @@ def query_words(keyword: Column) -> Column:
     return F.transform(keyword_words(keyword), F.lower)
 
 
+def quoted(word: Column) -> Column:
+    """Regular expression matching ``word`` literally."""
+    return F.concat(F.lit(r"\Q"), F.replace(word, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
+_SPANS = "array<struct<first:int,last:int>>"
+
+
+def _matches(low: Column, word: Column) -> Column:
+    """Spans [first, last) of a word's matches, from left to right, as lengths between its matches add up."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans")).cast(f"struct<at:int,spans:{_SPANS}>")
+
+    def step(walk: Column, part: Column) -> Column:
+        first = walk["at"] + F.length(part)
+        last = first + F.length(word)
+        return F.struct(last.alias("at"), F.array_append(walk["spans"], F.struct(first.alias("first"), last.alias("last"))).alias("spans")).cast(f"struct<at:int,spans:{_SPANS}>")
+
+    parts = F.split(low, quoted(word), -1)
+    return let(parts, lambda p: F.reduce(F.slice(p, F.lit(1), F.size(p) - 1), start, step))["spans"]
+
+
+def _merged(spans: Column) -> Column:
+    """Spans in order, those that overlap or touch as one."""
+    kind = f"struct<done:{_SPANS},first:int,last:int>"
+    start = F.struct(F.array().cast(_SPANS).alias("done"), F.lit(-1).alias("first"), F.lit(-1).alias("last")).cast(kind)
+    closed = lambda walk: F.when(walk["first"] < 0, walk["done"]).otherwise(F.array_append(walk["done"], F.struct(walk["first"].alias("first"), walk["last"].alias("last"))))
+
+    def step(walk: Column, span: Column) -> Column:
+        joins = (walk["first"] >= 0) & (span["first"] <= walk["last"])
+        return F.struct(
+            F.when(joins, walk["done"]).otherwise(closed(walk)).alias("done"), F.when(joins, walk["first"]).otherwise(span["first"]).alias("first"),
+            F.when(joins, F.greatest(walk["last"], span["last"])).otherwise(span["last"]).alias("last")).cast(kind)
+
+    return F.reduce(F.array_sort(spans), start, step, closed)
+
+
 def mark_words(text: Column, words: Column, tag: str) -> Column:
     """``text`` with a tag around what the words cover, ignoring ASCII case.
 
     Every word is matched on the original text, from left to right; matches that overlap or touch share one tag. The
     result is longer than the text by a pair of tags per stretch at most, however many words there are.
     """
-    def stretch(x: Column) -> Column:
-        covered = F.transform(x["chars"], lambda _, i: F.exists(x["masks"], lambda mask: F.get(mask, i) == MARK))
-        return let(F.struct(x["chars"].alias("chars"), covered.alias("on")), lambda y: F.array_join(F.transform(y["chars"], lambda c, i: F.concat(
-            F.when(F.get(y["on"], i) & ((i == 0) | ~F.get(y["on"], F.greatest(i - 1, F.lit(0)))), F.lit(f"<{tag}>")).otherwise(F.lit("")), c,
-            F.when(F.get(y["on"], i) & ~F.coalesce(F.get(y["on"], i + 1), F.lit(False)), F.lit(f"</{tag}>")).otherwise(F.lit("")))), ""))
+    def tagged(x: Column) -> Column:
+        cut = lambda first, last: F.array_join(F.slice(x["chars"], first + 1, last - first), "")
+        before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(x["spans"], F.greatest(i - 1, F.lit(0)))["last"])
+        pieces = F.transform(x["spans"], lambda s, i: F.concat(cut(before(i), s["first"]), F.lit(f"<{tag}>"), cut(s["first"], s["last"]), F.lit(f"</{tag}>")))
+        return F.concat(F.array_join(pieces, ""), cut(before(F.size(x["spans"])), F.size(x["chars"])))
 
     def marked(x: Column) -> Column:
-        masks = F.transform(x["found"], lambda w: F.split(F.replace(x["low"], w, F.repeat(F.lit(MARK), F.length(w))), ""))
+        spans = F.flatten(F.transform(x["found"], lambda w: _matches(x["low"], w)))
         return F.when(F.size(x["found"]) == 0, x["text"]).otherwise(
-            let(F.struct(F.split(x["text"], "").alias("chars"), masks.alias("masks")), stretch))
+            let(F.struct(F.split(x["text"], "").alias("chars"), _merged(spans).alias("spans")), tagged))
 
     bound = let(F.struct(text.alias("text"), fold(text).alias("low"), words.alias("words")), lambda x: F.struct(
         x["text"].alias("text"), x["low"].alias("low"), F.array_distinct(F.filter(x["words"], lambda w: F.contains(x["low"], w))).alias("found")))
