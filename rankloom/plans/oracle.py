@@ -540,7 +540,7 @@ ORACLE: dict[str, str] = {
     "pagerank_fixed": _rank_sql("SELECT doc_id, round(rank, 12) AS rank FROM final", "part_links", 3),
     "pagerank_converged": _rank_sql("SELECT doc_id, round(rank, 12) AS rank, i AS rounds FROM final", "supplier_links", None),
     "pagerank_dangling": _rank_sql("SELECT doc_id, round(rank, 12) AS rank FROM final WHERE deg IS NULL", "part_links", None),
-    "rank_max": _rank_sql("SELECT round(max(rank), 12) AS max_rank FROM final", "supplier_links", 2),
+    "rank_max": _rank_sql("SELECT round(max(rank), 12) AS max_rank FROM final", "supplier_links", None),
     "posting_fetch": _sql("SELECT query_id, clause, slot::INTEGER AS slot, term, field_id, doc_id, tf, df FROM hits", "hits"),
     "bm25_terms": _sql("""SELECT query_id, clause, term, field_id, doc_id, round(score, 6) AS score FROM scored WHERE is_first""", "scored"),
     "match_coverage": _sql("""SELECT query_id, clause, field_id, doc_id, n_matched, n_distinct::INTEGER AS n_distinct,
