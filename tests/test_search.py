@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 from conftest import RANKS
 from rankloom.operators import postings as po
 from rankloom.operators import queries as qs
+from rankloom.functions.scoring import SearchParams
 from rankloom.operators import search as se
+from rankloom.operators.block_search import BlockSearch, match_stats
 from rankloom.operators.ranked_search import boolean_search, search
 from rankloom.operators.pagerank import pagerank
 
@@ -126,3 +128,18 @@ def test_boolean_search(spark, docs):
     assert [r.doc_id for r in rows if r.query_id == 0][:2] == [0, 6]
     # A stop word is in no document: phrase and all-terms clauses cannot match, words still do.
     assert max(r.total for r in rows if r.query_id == 1) < max(r.total for r in rows if r.query_id == 0)
+
+
+def test_blocks_agree_with_the_steps(spark, index):
+    """Several blocks of few documents give the scores of the step-by-step operators, and hits and extremes that fit them."""
+    raws = ["red fox", "tea", "red red fox cub", "hot tea category:drink", "zzzz", "blue whale category:sea animal"]
+    split = qs.split_queries(spark.createDataFrame(list(enumerate(raws)), "query_id bigint, raw string"))
+    slots = qs.query_slots(split)
+    found = BlockSearch(index, slots, SearchParams(), block_docs=2).scores(None, 1000)
+    steps = se.combine_fields(se.field_scores(se.match_fields(se.bm25_terms(index, slots))))
+    want = {(r.query_id, r.doc_id): r.text for r in steps.collect()}
+    got = {(r.query_id, r.doc_id): r.total for r in found.filter("doc_id is not null").collect()}
+    assert want and got == pytest.approx(want, abs=1e-9)
+    for r in match_stats(found).collect():
+        own = [x for (q, _), x in want.items() if q == r.query_id]
+        assert r.hits == len(own) and (r.low, r.high) == pytest.approx((min(own), max(own)), abs=1e-9)
