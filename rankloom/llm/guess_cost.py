@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and values in credential contexts that would take many guesses.
 
-The cost of guessing a value is the cheapest way to spell it as words, dates, repeats, keyboard walks and
-brute-force spans, found by dynamic programming over its positions.
+The cost of guessing a value is the cheapest way to spell it as words, dates, repeats, keyboard walks, references,
+placeholders and brute-force spans, found by dynamic programming over its positions.
 """
 
 from __future__ import annotations
@@ -30,8 +30,20 @@ _CONTEXT = re.compile(
 # Rows of keys on a common keyboard.
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _NEXT = {(a, b) for row in _ROWS for x in (row, row[::-1]) for a, b in zip(x, x[1:], strict=False)}
-_DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
+_DATES = (
+    (re.compile(r"(?:19|20)\d\d"), 120),
+    (re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"), 120 * 365),
+    (re.compile(r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)\d\d"), 120 * 365))
+# Not secrets but where to find one, or what to put in its place: the kind of segment, and log10 of the guesses for it.
+_REFERENCE = re.compile(
+    r"""\$\{[A-Za-z_][A-Za-z0-9_.]*\}|\$\([A-Za-z_][A-Za-z0-9_.]*\)|\$\{?\{\x20*[A-Za-z_][A-Za-z0-9_.]*\x20*\}\}?|\{\{[A-Za-z_][A-Za-z0-9_.]*\}\}|%[A-Za-z_]+%|\$[A-Z]+(?:_[A-Z]+)+(?![A-Za-z0-9_])|(?:process\.env|os\.environ(?:\.get)?|os\.getenv|System\.getenv|env|secrets|vars|config|settings)(?:\.[A-Za-z_]+(?![A-Za-z0-9_])|[\[(])""",
+    re.ASCII)
+_HOST = re.compile(r"(?:https?|ftp|ssh)://[a-z0-9-]+(?:\.[a-z0-9-]+)*(?::[0-9]{1,5})?(?![^/?#])")
+_PLACEHOLDER = re.compile(r"(?:your|my|enter|insert|change|replace|example|sample|dummy|fake|some)(?:[_-][a-z]{1,24}){1,6}(?![a-z0-9])")
 _LONGEST_WORD = 24
+#: A longer walk or repeat that ends before the last characters of its run is never cheapest: what follows it there is a
+#: word or brute span inside the run, and going on over it adds at most log10(1 + 24 / 48) < 0.2 for each such segment.
+_SURE = 48
 _PLAIN = str.maketrans("@431!05$7", "aaeiiosst")
 
 
@@ -49,60 +61,78 @@ def _brute(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 100)
 
 
+def _run_ends(start: int, end: int, least: int) -> Iterator[int]:
+    """Ends worth trying for a walk or repeat from ``start`` in a run that ends at ``end``."""
+    near = min(end, start + _SURE)
+    yield from range(start + least, near + 1)
+    yield from range(max(near + 1, end - _LONGEST_WORD), end + 1)
+
+
+def _notes(value: str, low: str, i: int, words: dict[str, int]) -> Iterator[tuple[int, float]]:
+    """(end, price) of references and placeholders that start at ``i``."""
+    if (m := _REFERENCE.match(value, i)) is not None:
+        yield m.end(), 1.0
+    if (m := _HOST.match(low, i)) is not None:
+        yield m.end(), 1.0
+    if (m := _PLACEHOLDER.match(low, i)) is not None and all(len(w) < 3 or w in words for w in re.split("[_-]", m[0])):
+        yield m.end(), 2.0
+
+
 def guess_cost(value: str, words: dict[str, int], segment: float = 0.3) -> tuple[float, list[tuple[str, int, int]]]:
     """log10 of the guesses for ``value`` and the cheapest segmentation as (kind, start, end).
 
-    Every segment adds ``segment`` for having to be tried in its place. The empty value costs 0.
+    Every segment adds ``segment``, at least 0.2, for having to be tried in its place; a brute-force span is one segment
+    however long. The empty value costs 0. Work grows with the length of the value.
     """
-    n, low = len(value), value.lower()
+    n = len(value)
+    low = "".join(c if len(c.lower()) != 1 else c.lower() for c in value)
     plain = low.translate(_PLAIN)
-    dates = {}
-    for k in range(n):
-        if (m := _DATE.match(low, k)) is not None:
-            dates[k] = m.end()
-    cost, back = [0.0] + [math.inf] * n, [("", 0)] * (n + 1)
+    # Per position and per whether the last segment is brute force, which may go on for the price of a character.
+    cost = [[0.0, math.inf]] + [[math.inf, math.inf] for _ in range(n)]
+    back: list[list[tuple[str, int, int]]] = [[("", 0, 0)] * 2 for _ in range(n + 1)]
+    repeat_end = walk_end = 0
+    for i in range(n):
+        last = 0 if cost[i][0] <= cost[i][1] else 1
+        here = cost[i][last] + segment
 
-    def offer(i: int, j: int, price: float, kind: str) -> None:
-        if cost[i] + price < cost[j]:
-            cost[j], back[j] = cost[i] + price, (kind, i)
+        def offer(j: int, price: float, kind: str, i: int = i, last: int = last, here: float = here) -> None:
+            if here + price < cost[j][0]:
+                cost[j][0], back[j][0] = here + price, (kind, i, last)
 
-    walk_end = repeat_end = 0
-    for i in range(n):
-        # A brute-force span that goes on pays its characters only.
-        offer(i, i + 1, _brute(value[i]) + (0 if i and back[i][0] == "brute" else segment), "brute")
+        char = _brute(value[i])
+        cost[i + 1][1], back[i + 1][1] = min((cost[i][1] + char, ("brute", i, 1)), (cost[i][0] + segment + char, ("brute", i, 0)))
         for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
-            rank = words.get(low[i:j])
-            price = None
-            if rank is not None:
-                price = math.log10(rank + 2)
-            elif (rank := words.get(plain[i:j])) is not None:
-                price = math.log10(rank + 2) + 0.6
-            if price is not None:
-                price += 0 if value[i:j].islower() else 0.3 if value[i:j].istitle() or value[i:j].isupper() else 0.9
-                offer(i, j, price + segment, "word")
-        if i in dates:
-            offer(i, dates[i], math.log10(120 * (1 if dates[i] - i == 4 else 365)) + segment, "date")
+            prices = [math.log10(rank + 2) + extra for rank, extra in ((words.get(low[i:j]), 0.0), (words.get(plain[i:j]), 0.6)) if rank is not None]
+            if prices:
+                offer(j, min(prices) + (0 if value[i:j].islower() else 0.3 if value[i:j].istitle() or value[i:j].isupper() else 0.9), "word")
+        if low[i] in "0123":
+            for pattern, guesses in _DATES:
+                if (m := pattern.match(low, i)) is not None:
+                    offer(m.end(), math.log10(guesses), "date")
+        for j, price in _notes(value, low, i, words):
+            offer(j, price, "reference")
         if i >= repeat_end:
             repeat_end = i + 1
             while repeat_end < n and low[repeat_end] == low[i]:
                 repeat_end += 1
-        if repeat_end - i >= 3:
-            offer(i, repeat_end, _brute(value[i]) + math.log10(repeat_end - i) + segment, "repeat")
+        for j in _run_ends(i, repeat_end, 3):
+            offer(j, char + math.log10(j - i), "repeat")
         if i >= walk_end - 1:
             walk_end = i + 1
             while walk_end < n and (low[walk_end - 1], low[walk_end]) in _NEXT:
                 walk_end += 1
-        if walk_end - i >= 4:
-            offer(i, walk_end, math.log10(47 * 2 * (walk_end - i)) + segment, "walk")
-    parts, j = [], n
+        for j in _run_ends(i, walk_end, 4):
+            offer(j, math.log10(47 * 2 * (j - i)), "walk")
+    state = 0 if cost[n][0] <= cost[n][1] else 1
+    total, parts, j = cost[n][state], [], n
     while j:
-        kind, i = back[j]
+        kind, i, state = back[j][state]
         if parts and kind == "brute" and parts[-1][0] == "brute":
             parts[-1] = ("brute", i, parts[-1][2])
         else:
             parts.append((kind, i, j))
         j = i
-    return cost[n], parts[::-1]
+    return total, parts[::-1]
 
 
 def scan(text: str, words: dict[str, int], least_cost: float) -> list[tuple[str, int, int, float | None]]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import math
+import random
 import re
 import struct
 
@@ -481,3 +483,61 @@ def test_names_after_capitalised_words(spark):
     assert all(by[r.doc_id][r.start_at : r.end_at] == r.hit for r in spans)
     assert all((key, name) in {(r.doc_id, r.hit) for r in found} for key, (_, name) in texts.items())
     assert {(1, "Anna Smith"), (3, "Paul Anna Jones"), (5, "Emma Stone")} <= {(r.doc_id, r.hit) for r in spans}
+
+
+def dearest_spelled_out(value, words, segment=0.3):
+    """Cheapest segmentation by trying every segment at every place."""
+    low = value.lower()
+    plain = low.translate(guess_cost._PLAIN)
+    n = len(value)
+
+    def prices(i, j):
+        part = value[i:j]
+        case = 0 if part.islower() else 0.3 if part.istitle() or part.isupper() else 0.9
+        if 3 <= j - i <= 24 and low[i:j] in words:
+            yield math.log10(words[low[i:j]] + 2) + case
+        if 3 <= j - i <= 24 and plain[i:j] in words:
+            yield math.log10(words[plain[i:j]] + 2) + 0.6 + case
+        for pattern, guesses in guess_cost._DATES:
+            if pattern.fullmatch(low[i:j]):
+                yield math.log10(guesses)
+        if j - i >= 3 and len(set(low[i:j])) == 1:
+            yield guess_cost._brute(value[i]) + math.log10(j - i)
+        if j - i >= 4 and all(pair in guess_cost._NEXT for pair in itertools.pairwise(low[i:j])):
+            yield math.log10(94 * (j - i))
+        yield sum(map(guess_cost._brute, part))
+        for end, price in guess_cost._notes(value, low, i, words):
+            if end == j:
+                yield price
+
+    best = [0.0]
+    for j in range(1, n + 1):
+        best.append(min(best[i] + min(prices(i, j)) + segment for i in range(j)))
+    return best[n]
+
+
+def test_guess_cost_is_the_least():
+    words = guess_cost.word_ranks(RANKS)
+    rng = random.Random(5)
+    pieces = ["qwer", "entirely", "aaaaaaaaa", "altern", "2019", "20122012", "31121999", "2019-12-31", "p@ssw0rd", "Summer", "qwqwqwqw", "a" * 130, "qw" * 70, "111", "12345", "x", "9", "#", "É", "${DB_KEY}", "https://a.b/", "my_key"]
+    values = ["qwerentirely", "aaaaaaaaalternqwer", "a" * 300 + "ltern", "qw" * 120 + "ertical"]
+    values += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 4))) for _ in range(150)]
+    values += ["".join(rng.choice("aq1w2esd0") for _ in range(rng.randint(1, 14))) for _ in range(300)]
+    for value in values:
+        total, parts = guess_cost.guess_cost(value, words)
+        assert total == pytest.approx(dearest_spelled_out(value, words)), value
+        assert [0, *(b for _, _, b in parts)] == [*(a for _, a, _ in parts), len(value)], value
+
+
+def test_references_and_placeholders_are_no_secrets():
+    words = guess_cost.word_ranks(RANKS)
+    for value in ("${DB_PASSWORD}", "process.env.API_KEY", "your_password_here", "https://example.com/login", "{{vault.db}}", "%DB_PASSWORD%", "$DB_PASSWORD", "settings.DB_PASSWORD"):
+        assert guess_cost.guess_cost(value, words)[0] < 10, value
+        assert guess_cost.scan(f"pwd: {value} and", words, 10.0) == [], value
+    for value in ("https://bot:xK9mQ2vL7p@example.com", "https://hooks.example.com/services/T9x2Kq8Zv", "my_xK9mQ2vL7pzz", "${X}xK9#mQ2$vL7p!"):
+        assert [k for k, *_ in guess_cost.scan(f"pwd: {value} and", words, 10.0)] == ["guess"], value
+    assert guess_cost.guess_cost("İİstanbul", words)[1][-1][2] == 9
+
+
+def test_secrets_of_an_empty_table(spark):
+    assert guess_cost.summarise(guess_cost.find_secrets(docs_of(spark, ODD).limit(0), RANKS)).count() == 0
