@@ -27,7 +27,7 @@ def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return weak_pii.summarise(docs, weak_pii.find_spans(docs))
+    return weak_pii.summarise(docs, weak_pii.find_positions(docs))
 
 
 def op4_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,14 +74,23 @@ def _found(kind: str, pattern: str) -> Column:
     return F.when(F.col("text").rlike(pattern), F.get(bound, F.lit(0)))
 
 
-def matches(texts: DataFrame, patterns: dict[str, str]) -> DataFrame:
-    """doc_id, text_hash, kind, hit, start_at, end_at (code points, end exclusive), before, after of all matches."""
+def _pieces(texts: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """All matches with their number among those of their kind, and the characters before and in each."""
     each = texts.select("doc_id", "text_hash", F.explode(F.flatten(F.array_compact(F.array(*(_found(k, p) for k, p in patterns.items()))))).alias("m"))
-    each = each.select("doc_id", "text_hash", "m.*").dropDuplicates(["doc_id", "text_hash", "kind", "k"])  # rows that repeat
+    return each.select("doc_id", "text_hash", "m.*", F.length("m.hit").alias("size"))
+
+
+def _placed(pieces: DataFrame) -> DataFrame:
+    """Add start_at and end_at (code points, end exclusive)."""
+    each = pieces.dropDuplicates(["doc_id", "text_hash", "kind", "k"])  # rows that repeat
     before = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     start = F.sum(F.col("gap") + F.col("taken")).over(before) - F.col("taken")
-    return each.withColumn("start_at", start).select(
-        "doc_id", "text_hash", "kind", "hit", "start_at", (F.col("start_at") + F.length("hit")).alias("end_at"), "before", "after")
+    return each.withColumn("start_at", start).withColumn("end_at", F.col("start_at") + F.col("size")).drop("k", "gap", "taken", "size")
+
+
+def matches(texts: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """doc_id, text_hash, kind, hit, start_at, end_at (code points, end exclusive), before, after of all matches."""
+    return _placed(_pieces(texts, patterns)).select("doc_id", "text_hash", "kind", "hit", "start_at", "end_at", "before", "after")
 
 
 def _luhn(digits: Column) -> Column:
@@ -195,27 +204,23 @@ def whole_names(added: DataFrame) -> DataFrame:
     reach = F.max("end_at").over(order.rowsBetween(Window.unboundedPreceding, -1))
     names = added.filter("kind = 'name'").withColumn("_begins", F.coalesce(F.col("start_at") >= reach, F.lit(True)))
     names = names.withColumn("_island", F.sum(F.col("_begins").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    parts = F.array_sort(F.collect_list(F.struct("start_at", "end_at", "hit")))
-    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit("").alias("hit"))
-    joined = F.aggregate("_parts", start, lambda s, x: F.struct(
-        F.greatest(s["end"], x["end_at"]).alias("end"),
-        F.when(s["hit"] == "", x["hit"]).otherwise(F.concat(s["hit"], F.right(x["hit"], F.greatest(x["end_at"] - s["end"], F.lit(0)).cast("int")))).alias("hit")))
-    merged = names.groupBy("doc_id", "text_hash", "kind", "_island").agg(parts.alias("_parts")).withColumn("_joined", joined).select(
-        "doc_id", "text_hash", "kind", F.get("_parts", F.lit(0))["start_at"].alias("start_at"), F.col("_joined.end").alias("end_at"), F.col("_joined.hit").alias("hit"))
+    merged = names.groupBy("doc_id", "text_hash", "kind", "_island").agg(F.min("start_at").alias("start_at"), F.max("end_at").alias("end_at")).drop("_island")
     return added.filter("kind <> 'name'").select(merged.columns).unionByName(merged)
 
 
-def find_spans(docs: DataFrame) -> DataFrame:
-    """All spans: doc_id, text_hash, kind, start_at, end_at, hit, is_base.
+def find_positions(docs: DataFrame) -> DataFrame:
+    """All spans: doc_id, text_hash, kind, start_at, end_at, is_base.
 
     Fixed patterns whose matches are valid are base spans. Candidates are added where the classifier takes them and no
     base span overlaps; names that overlap are one span. Rows equal in doc_id and text count once; null texts have no spans.
+    Matches are judged where they are found: neither they nor the text around them are shuffled or written.
     """
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    found = materialise(matches(texts, BASE | CANDIDATES), "matches")
-    base = found.filter(F.col("kind").isin(*BASE)).filter(valid_base(F.col("kind"), F.col("hit"))).withColumn("is_base", F.lit(True))
-    added = whole_names(classify(votes(found.filter(F.col("kind").isin(*CANDIDATES))))).withColumn("is_base", F.lit(False))
-    columns = ["doc_id", "text_hash", "kind", "start_at", "end_at", "hit", "is_base"]
+    judged = votes(_pieces(texts, BASE | CANDIDATES)).withColumn("valid", valid_base(F.col("kind"), F.col("hit"))).drop("hit", "before", "after")
+    found = materialise(_placed(judged), "matches")
+    base = found.filter("valid").withColumn("is_base", F.lit(True))
+    added = whole_names(classify(found.filter(F.col("kind").isin(*CANDIDATES)))).withColumn("is_base", F.lit(False))
+    columns = ["doc_id", "text_hash", "kind", "start_at", "end_at", "is_base"]
     both = base.select(columns).unionByName(added.select(columns))
     order = Window.partitionBy("doc_id", "text_hash").orderBy("start_at", F.desc("is_base"))
     earlier = F.max(F.when(F.col("is_base"), F.col("end_at"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -224,6 +229,15 @@ def find_spans(docs: DataFrame) -> DataFrame:
         F.col("is_base") | ((F.coalesce("_earlier", F.lit(-1)) <= F.col("start_at")) & (F.coalesce(F.col("_later"), F.col("end_at")) >= F.col("end_at")))).drop("_earlier", "_later")
 
 
+def find_spans(docs: DataFrame) -> DataFrame:
+    """The spans of ``find_positions`` with the matched text as ``hit``."""
+    spans = find_positions(docs)
+    texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").alias("_doc_id"), F.xxhash64("text").alias("_hash"), "text").dropDuplicates(["_doc_id", "_hash"])
+    met = spans.join(texts, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_hash")))
+    hit = F.substring(F.col("text"), (F.col("start_at") + 1).cast("int"), (F.col("end_at") - F.col("start_at")).cast("int"))
+    return met.select("doc_id", "text_hash", "kind", "start_at", "end_at", hit.alias("hit"), "is_base")
+
+
 def summarise(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Per row of ``docs``: counts of base spans by kind, digest of the base spans, all spans as text."""
     rank = F.lit(0)

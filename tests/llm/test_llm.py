@@ -541,3 +541,14 @@ def test_references_and_placeholders_are_no_secrets():
 
 def test_secrets_of_an_empty_table(spark):
     assert guess_cost.summarise(guess_cost.find_secrets(docs_of(spark, ODD).limit(0), RANKS)).count() == 0
+
+
+def test_pii_positions_without_texts(spark):
+    docs = docs_of(spark, [*enumerate(PII), (5, PII[5]), (None, PII[5])])
+    places = weak_pii.find_positions(docs)
+    assert places.columns == ["doc_id", "text_hash", "kind", "start_at", "end_at", "is_base"]
+    spans = weak_pii.find_spans(docs)
+    assert sorted(map(str, places.collect())) == sorted(map(str, spans.select(places.columns).collect()))
+    written = weak_pii._placed(weak_pii.votes(weak_pii._pieces(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), weak_pii.CANDIDATES)).drop("hit", "before", "after"))
+    assert {t for c, t in written.dtypes if c != "kind"} <= {"bigint", "int"}
+    assert weak_pii.summarise(docs, places).orderBy("doc_id").collect() == weak_pii.summarise(docs, spans).orderBy("doc_id").collect()
