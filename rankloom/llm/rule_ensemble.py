@@ -8,8 +8,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.session import materialise
-
 #: Most labelled rows that a model is fitted to, those with the smallest hashes of their id.
 FIT_ROWS = 20_000
 
@@ -144,11 +142,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(stats: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """Fit to at most ``rows`` labelled rows outside the held-out third; labels other than 0 and 1 are left out."""
-    known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
-    joined = stats.join(known, "doc_id").select(*FEATURES, "quality", F.xxhash64("doc_id").alias("_h"))
-    data = np.array(joined.orderBy("_h", "quality", *FEATURES).limit(rows).drop("_h").collect(), dtype=float).reshape(-1, len(FEATURES) + 1)
+def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
+    """Fit to at most ``rows`` labelled rows outside the held-out third; labels other than 0 and 1 are left out.
+
+    Only rows up to the ``rows``-th smallest hash have their texts read into statistics.
+    """
+    order = F.xxhash64("doc_id")
+    known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("_quality"), order.alias("_h"))
+    last = docs.select("doc_id").join(known, "doc_id").select("_h").orderBy("_h").limit(rows).agg(F.max("_h")).head()[0]
+    if last is None:
+        return Model()
+    texts = docs.select("doc_id", "text").filter(order <= last).join(known.filter(F.col("_h") <= last), "doc_id")
+    stats = statistics(texts, "_quality", "_h").select(*FEATURES, "_quality", "_h")
+    data = np.array(stats.orderBy("_h", "_quality", *FEATURES).limit(rows).drop("_h").collect(), dtype=float).reshape(-1, len(FEATURES) + 1)
     return fit(data[:, :-1], data[:, -1])
 
 
@@ -157,15 +163,16 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
 
     Null and empty texts are scored as empty; rows that repeat give a row each; a null doc_id is never held out.
     """
-    stats = materialise(statistics(docs, "doc_id"), "statistics")
-    scored = train(stats, labels, rows).score()
-    return stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scored.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = train(docs, labels, rows).score()
+    return statistics(docs, "doc_id").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scored.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` that are predicted to be good, with their columns."""
-    stats = materialise(statistics(docs, "doc_id"), "statistics")
-    model = train(stats, labels, rows)
+    """The rows of ``docs`` that are predicted to be good, with their columns; rows that repeat are judged alike."""
+    model = train(docs, labels, rows)
     # Statistics beside the row itself, so that nothing is joined and columns that share their names don't matter.
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
-    return statistics(packed, "_row").filter(model.score() >= 0.5).select("_row.*")
+    # A filter on a task's number stays above the projection that makes it. Pushed below, it would work out the
+    # statistics anew for every rule that names them.
+    scored = statistics(packed, "_row").select("_row", model.score().alias("_score"), F.spark_partition_id().alias("_task"))
+    return scored.filter((F.col("_score") >= 0.5) & (F.col("_task") >= 0)).select("_row.*")

@@ -552,3 +552,13 @@ def test_pii_positions_without_texts(spark):
     written = weak_pii._placed(weak_pii.votes(weak_pii._pieces(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), weak_pii.CANDIDATES)).drop("hit", "before", "after"))
     assert {t for c, t in written.dtypes if c != "kind"} <= {"bigint", "int"}
     assert weak_pii.summarise(docs, places).orderBy("doc_id").collect() == weak_pii.summarise(docs, spans).orderBy("doc_id").collect()
+
+
+
+def test_quality_pipeline_stage_reads_statistics_once(spark):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    docs = docs_of(spark, [(k, "### $$$ %%%" if k % 2 == 0 else "plain words of a text") for k in range(40)] * 2)
+    kept = rule_ensemble.keep_good(docs, labels)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct(split(") + plan.count("array_distinct(_w") <= 2
+    assert kept.count() == 40 and rule_ensemble.keep_good(docs, labels.limit(0)).count() == 80
