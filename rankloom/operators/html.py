@@ -1,20 +1,21 @@
 """Field extraction from HTML pages.
 
-Parsing runs in Arrow batches over the page table, one page at a time, with the standard
-library's tolerant parser. It returns raw pieces; trimming, joining, filtering and link handling
-are column expressions in ``operators.pages``.
+A helper turns each page into flat rows in page order, one per element or text, with the standard library's tolerant
+parser. Selection, removals, the heading rule and the texts are column expressions on those rows, which stay in the
+page's own record: nothing is shuffled. Trimming, joining, filtering and link handling are in ``operators.pages``.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Elements that never have a body.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -27,6 +28,12 @@ ENDS_PARAGRAPH = {
 # Default selectors of an encyclopedia page, and what its content drops.
 REMOVED = ("sup[class=reference]", "span[class=mw-editsection]", "table", "div")
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+SILENT = ("script", "style")
+
+#: Elements nested deeper, as in broken markup only, become children of this depth, as browsers do; their text stays.
+MAX_DEPTH = 512
+#: Pages of an output batch.
+BATCH_PAGES = 100
 
 _STEP = re.compile(r"(?P<child>>?)\s*(?P<tag>[\w*-]*)(?P<rest>(?:[#.][\w-]+|\[[^\]]*\])*)")
 _CONDITION = re.compile(r"([#.])([\w-]+)|\[([\w-]+)(?:=['\"]?([^'\"\]]*)['\"]?)?\]")
@@ -47,168 +54,207 @@ class Selectors:
     removed: tuple[str, ...] = REMOVED
 
 
-@dataclass(eq=False)
-class Node:
-    tag: str
-    attrs: dict[str, str] = field(default_factory=dict)
-    parent: Node | None = None
-    children: list = field(default_factory=list)
-
-    def walk(self) -> Iterator[Node]:
-        stack = [self]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
-
-    def text(self) -> str:
-        parts, stack = [], [self]
-        while stack:
-            item = stack.pop()
-            if isinstance(item, str):
-                parts.append(item)
-            elif item.tag not in ("script", "style"):
-                stack.extend(reversed(item.children))
-        return "".join(parts)
-
-    def remove(self) -> None:
-        if self.parent is not None:
-            self.parent.children.remove(self)
-            self.parent = None
-
-
-class _Builder(HTMLParser):
-    def __init__(self) -> None:
+#: One element or text: its place, those of its parent, last descendant and ancestors, and what it holds.
+NODE = pa.struct([
+    ("n", pa.int32()), ("parent", pa.int32()), ("last", pa.int32()), ("tag", pa.string()),
+    ("attrs", pa.map_(pa.string(), pa.string())), ("link", pa.string()), ("text", pa.string()), ("path", pa.list_(pa.int32())),
+])
+NODES = ("array<struct<n:int,parent:int,last:int,tag:string,attrs:map<string,string>,link:string,text:string,path:array<int>>>")
+
+
+class _Flattener(HTMLParser):
+    """Rows of a page in page order; ``open`` holds the places of the open elements, the page itself first."""
+
+    def __init__(self, url: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = self.current = Node("")
+        self.url = url
+        self.rows: list[dict] = []
+        self.open: list[int] = []
+        self._add(tag="", attrs=[])
+        self.open.append(0)
+
+    def _add(self, tag=None, attrs=None, link=None, text=None) -> None:
+        n = len(self.rows)
+        parent = self.open[-1] if self.open else -1
+        self.rows.append({"n": n, "parent": parent, "last": n, "tag": tag, "attrs": attrs, "link": link, "text": text,
+                          "path": list(self.open)})
+
+    def _pop(self) -> None:
+        self.rows[self.open.pop()]["last"] = len(self.rows) - 1
+
+    def _end(self, tag: str, barriers: frozenset = frozenset()) -> None:
+        """End the nearest open element of that tag, unless a barrier comes first."""
+        for depth in range(len(self.open) - 1, 0, -1):
+            found = self.rows[self.open[depth]]["tag"]
+            if found == tag:
+                while len(self.open) > depth:
+                    self._pop()
+                return
+            if found in barriers:
+                return
+
+    def _link(self, attrs: dict[str, str]) -> str | None:
+        try:
+            return urljoin(self.url, attrs["href"].strip()) if "href" in attrs else None
+        except ValueError:
+            return None
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS_PARAGRAPH:
-            self._close("p", {"article", "div", "li", "td", "section", "body"})
+            self._end("p", frozenset(("article", "div", "li", "td", "section", "body")))
         elif tag == "li":
-            self._close("li", {"ul", "ol"})
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.current)
-        self.current.children.append(node)
+            self._end("li", frozenset(("ul", "ol")))
+        named = {k: v or "" for k, v in attrs}
+        if len(self.open) > MAX_DEPTH:
+            self._pop()
+        self._add(tag=tag, attrs=list(named.items()), link=self._link(named))
         if tag not in VOID:
-            self.current = node
+            self.open.append(len(self.rows) - 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
-            self.current = self.current.parent
+            self._pop()
 
     def handle_endtag(self, tag):
-        self._close(tag, set())
+        self._end(tag)
 
     def handle_data(self, data):
-        self.current.children.append(data)
+        self._add(text=data)
 
-    def _close(self, tag, barriers):
-        node = self.current
-        while node.parent is not None and node.tag != tag:
-            if node.tag in barriers:
-                return
-            node = node.parent
-        if node.parent is not None:
-            self.current = node.parent
+    def finish(self) -> list[dict]:
+        self.close()
+        while self.open:
+            self._pop()
+        return self.rows
 
 
-def _accepts(node: Node, tag: str, conditions) -> bool:
-    if tag not in ("", "*", node.tag):
-        return False
-    for mark, name, attribute, value in conditions:
-        if mark == "#" and node.attrs.get("id") != name:
-            return False
-        if mark == "." and name not in node.attrs.get("class", "").split():
-            return False
-        if attribute and (attribute not in node.attrs or value and node.attrs[attribute] != value):
-            return False
-    return True
-
-
-def select(root: Node, selector: str) -> list[Node]:
-    """Descendants of ``root`` matching tag, #id, .class, [attribute=value], blank and > steps."""
-    found = [root]
-    for step in _STEP.finditer(selector):
-        if not step.group(0).strip():
-            continue
-        conditions = _CONDITION.findall(step["rest"])
-        matched: dict[int, Node] = {}
-        for node in found:
-            reach = node.children if step["child"] else node.walk()
-            for item in reach:
-                if isinstance(item, Node) and item is not node and _accepts(item, step["tag"], conditions):
-                    matched.setdefault(id(item), item)
-        found = list(matched.values())
-    return found
-
-
-def _spaced(node: Node) -> str:
-    return " ".join(node.text().split())
-
-
-def _drop_empty_headings(content: Node) -> None:
-    """Remove a heading whose next element is a heading of the same level."""
-    for parent in list(content.walk()):
-        elements = [c for c in parent.children if isinstance(c, Node)]
-        for left, right in zip(elements, elements[1:]):
-            if left.tag == right.tag and left.tag in HEADINGS:
-                left.remove()
-
-
-def extract_page(html: str, url: str, selectors: Selectors) -> dict:
-    """Raw pieces of one page; title, blocks and categories are None where an element is missing."""
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    page = builder.root
-    titles, contents = select(page, selectors.title), select(page, selectors.content)
-    boxes, footers = select(page, selectors.category_box), select(page, selectors.footer)
-    blocks, links = None, []
-    if contents:
-        content = contents[0]
-        for selector in selectors.removed:
-            for node in select(content, selector):
-                node.remove()
-        _drop_empty_headings(content)
-        parts = select(content, selectors.blocks) if selectors.blocks else content.children
-        blocks = [part.text() for part in parts if isinstance(part, Node)]
-        for anchor in select(page if selectors.links_anywhere else content, selectors.links):
-            try:
-                links.append(urljoin(url, anchor.attrs["href"].strip()))
-            except ValueError:
-                continue
-    return {
-        "title": _spaced(titles[0]) if titles else None,
-        "blocks": blocks,
-        "categories": [_spaced(c) for c in select(boxes[0], selectors.categories)] if boxes else None,
-        "footer": footers[0].text() if footers else None,
-        "links": links,
-    }
-
-
-PIECES = "title string, blocks array<string>, categories array<string>, footer string, links array<string>, error string"
-
-
-_NOTHING = dict.fromkeys(("title", "blocks", "categories", "footer", "links"))
-
-
-def _page_or_error(html: str | None, url: str | None, selectors: Selectors) -> dict:
-    """Pieces of a page, or nothing but the reason where it can't be read."""
+def flat_page(html: str | None, url: str | None) -> tuple[list[dict] | None, str | None]:
+    """Rows of a page, or nothing and the reason where it can't be read."""
     if html is None:
-        return _NOTHING | {"error": "no page"}
+        return None, "no page"
     try:
-        return extract_page(html, url or "", selectors) | {"error": None}
+        flattener = _Flattener(url or "")
+        flattener.feed(html)
+        return flattener.finish(), None
     except (AssertionError, ValueError, RecursionError) as error:  # broken markup ends the page, not the job
-        return _NOTHING | {"error": f"{type(error).__name__}: {error}"}
+        return None, f"{type(error).__name__}: {error}"
+
+
+def page_nodes(pages: DataFrame) -> DataFrame:
+    """(page_id, url, nodes, error): the flat rows of every page, in page order."""
+    def batches(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arriving:
+            for start in range(0, batch.num_rows, BATCH_PAGES):
+                part = batch.slice(start, BATCH_PAGES)
+                read = [flat_page(h, u) for h, u in zip(part.column("html").to_pylist(), part.column("url").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("page_id"), part.column("url"), pa.array([rows for rows, _ in read], pa.list_(NODE)),
+                     pa.array([error for _, error in read], pa.string())], ["page_id", "url", "nodes", "error"])
+
+    kept = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    return kept.mapInArrow(batches, f"page_id bigint, url string, nodes {NODES}, error string")
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is worked out once a row, also where a loop over nodes uses it."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _accepts(tag: str, conditions) -> str:
+    """Test of the element ``node``."""
+    fits = ["node.text IS NULL", "node.n > 0"]
+    if tag not in ("", "*"):
+        fits.append(f"node.tag = {_quoted(tag)}")
+    for mark, name, attribute, value in conditions:
+        held = f"node.attrs[{_quoted(attribute or {'#': 'id', '.': 'class'}[mark])}]"
+        if mark == ".":
+            fits.append(rf"array_contains(split({held}, '[ \\t\\n\\f\\r]+'), {_quoted(name)})")
+        elif mark or value:
+            fits.append(f"{held} = {_quoted(name or value)}")
+        else:
+            fits.append(f"{held} IS NOT NULL")
+    return " AND ".join(fits)
+
+
+def matches(selector: str, scope: str = "0") -> str:
+    """For each node whether it matches tag, #id, .class, [attribute=value], blank and > steps below ``scope``."""
+    reached = _bound(scope, "start", "transform(nodes, node -> node.n = start)")
+    for step in _STEP.finditer(selector):
+        if step.group(0).strip():
+            above = "get(before, node.parent)" if step["child"] else "exists(node.path, place -> get(before, place))"
+            test = f"{_accepts(step['tag'], _CONDITION.findall(step['rest']))} AND {above}"
+            reached = _bound(reached, "before", f"transform(nodes, node -> coalesce({test}, false))")
+    return reached
+
+
+def _first(hits: str) -> str:
+    """Place of the first match, null without one."""
+    return f"nullif(cast(array_position({hits}, true) AS int), 0) - 1"
+
+
+def _inherited(flags: str) -> str:
+    """Flags of the nodes handed down to all below them."""
+    return _bound(flags, "known", "transform(nodes, node -> get(known, node.n) OR exists(node.path, place -> get(known, place)))")
+
+
+def _among(hits: str) -> str:
+    return _bound(hits, "known", "filter(nodes, node -> get(known, node.n))")
+
+
+def _left(found: str) -> str:
+    return _bound("dropped", "gone", f"filter({found}, node -> NOT get(gone, node.n))")
+
+
+def _texts(chosen: str, dropped: str) -> str:
+    """Texts below the chosen nodes, each in page order, without scripts, styles and what is dropped."""
+    silent = f"get(nodes, part.parent).tag IN ({', '.join(map(_quoted, SILENT))}) AND part.parent <> top.n"
+    heard = f"part.text IS NOT NULL AND NOT ({silent}) AND NOT get(gone, part.n)"
+    below = f"filter(slice(nodes, top.n + 2, top.last - top.n), part -> {heard})"
+    return _bound(dropped, "gone", f"transform({chosen}, top -> array_join(transform({below}, part -> part.text), ''))")
+
+
+#: (parent, n, tag) of the nodes by parent; remaining elements of the content have theirs, other nodes -1.
+SIBLINGS = "sort_array({})".format(_bound("struct(removed, content)", "known", """transform(nodes, node -> named_struct(
+    'parent', if(node.text IS NULL AND NOT get(known.removed, node.n) AND array_contains(node.path, known.content), node.parent, -1),
+    'n', node.n, 'tag', node.tag))"""))
+#: For each node whether it is a heading whose next remaining element is one of the same level.
+BARE_HEADINGS = "transform({}, node -> node.bare)".format(_bound(SIBLINGS, "siblings", f"""sort_array(transform(siblings, (node, i) -> named_struct(
+    'n', node.n, 'bare', coalesce(node.parent >= 0 AND node.tag IN ({", ".join(map(_quoted, HEADINGS))})
+        AND get(siblings, i + 1).parent = node.parent AND get(siblings, i + 1).tag = node.tag, false))))"""))
+
+
+def _spaced(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
 
 
 def extract_pieces(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFrame:
-    """(page_id, url) plus raw title, blocks, categories, footer, absolute links and, for a bad page, the error."""
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            pieces = [_page_or_error(h, u, selectors) for h, u in zip(frame["html"], frame["url"])]
-            columns = pd.DataFrame(pieces, columns=["title", "blocks", "categories", "footer", "links", "error"], dtype=object)
-            yield pd.concat([frame[["page_id", "url"]].reset_index(drop=True), columns], axis=1)
-
-    return pages.select("page_id", "url", "html").mapInPandas(batches, f"page_id bigint, url string, {PIECES}")
+    """(page_id, url) plus raw title, blocks, categories, footer, absolute links and, for a bad page, the error.
+
+    Title, blocks, categories and footer are null where an element is missing; a bad page has nothing but its error.
+    Title, categories and footer are read from the whole page, blocks and links from what the removals leave.
+    """
+    removed = "transform(nodes, node -> false)"
+    for selector in selectors.removed:
+        removed = f"zip_with({removed}, {matches(selector, 'content')}, (a, b) -> a OR b)"
+    if selectors.blocks:
+        blocks = _among(matches(selectors.blocks, "content"))
+    else:
+        blocks = _bound("content", "top", "filter(nodes, node -> node.parent = top AND node.text IS NULL)")
+    anchors = _among(matches(selectors.links, "0" if selectors.links_anywhere else "content"))
+    rows = page_nodes(pages).selectExpr("*", f"{_first(matches(selectors.content))} AS content",
+                                        f"{_first(matches(selectors.category_box))} AS box", "transform(nodes, node -> false) AS none")
+    rows = rows.selectExpr("*", f"{_inherited(removed)} AS removed")
+    rows = rows.selectExpr("*", f"zip_with(removed, {_inherited(BARE_HEADINGS)}, (a, b) -> a OR b) AS dropped")
+    rows = rows.selectExpr("*", f"slice({_among(matches(selectors.title))}, 1, 1) AS titles", f"slice({_among(matches(selectors.footer))}, 1, 1) AS footers",
+                           f"{_among(matches(selectors.categories, 'box'))} AS boxed", f"{_left(blocks)} AS parts", f"{_left(anchors)} AS anchors")
+    rows = rows.selectExpr(
+        "page_id", "url", f"get({_texts('titles', 'none')}, 0) AS title", f"if(content IS NOT NULL, {_texts('parts', 'dropped')}, NULL) AS blocks",
+        f"if(box IS NOT NULL, {_texts('boxed', 'none')}, NULL) AS categories", f"get({_texts('footers', 'none')}, 0) AS footer",
+        """CASE WHEN content IS NOT NULL THEN filter(transform(anchors, node -> node.link), link -> link IS NOT NULL)
+            WHEN error IS NULL THEN cast(array() AS array<string>) END AS links""", "error")
+    return rows.withColumns({"title": _spaced(F.col("title")), "categories": F.transform("categories", _spaced)})

@@ -402,7 +402,10 @@ def _request_sql() -> str:
 
 
 def _html_sql() -> str:
-    """Extraction by patterns; enough for these pages, whose articles hold h1, p, b and br only."""
+    """Extraction by patterns; enough for these pages, whose articles hold h1, p, b and br only.
+
+    Whatever stands between two paragraph marks is a block of its own, after the title is cut out.
+    """
     def plain(markup: str) -> str:
         bare = f"regexp_replace({markup}, '<[^>]*>', '', 'g')"
         return f"regexp_replace(replace({bare}, '&quot;', '\"'), '&amp;?', '&', 'g')"
@@ -414,8 +417,8 @@ def _html_sql() -> str:
         SELECT page_id, title, content, categories, '2018-02-01 00:00' AS last_modify, coalesce(out_links, '') AS out_links FROM (
             SELECT page_id, {spaced(plain("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))} AS title,
                 array_to_string(list_filter(list_transform(
-                    string_split(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>')[2:],
-                    lambda p: {_trim(plain("split_part(p, '</p>', 1)"))}), lambda p: p <> ''), chr(10)) AS content,
+                    regexp_split_to_array(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '(?s)<h1>.*?</h1>', ''), '</?p>'),
+                    lambda p: {_trim(plain('p'))}), lambda p: p <> ''), chr(10)) AS content,
                 array_to_string(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>.*?</nav>'), '(?s)<li>(.*?)</li>', 1),
                     lambda c: {spaced(plain('c'))}), '|') AS categories
             FROM pages) LEFT JOIN (

@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from rankloom.functions import urls
-from rankloom.operators.html import Selectors, extract_page
+from rankloom.operators.html import MAX_DEPTH, Selectors, extract_pieces, page_nodes
 from rankloom.operators.pages import last_modified, normalised_links, web_pages
 from rankloom.operators.robots import robots_gate, robots_rules
 
@@ -17,13 +17,46 @@ line </p><table><tr><td>gone</td></tr></table><h2>Empty</h2><h2>Kept<span class=
 <ul><li id="footer-info-lastmod">This page was last edited on 18 January 2018, at 21:30.</li></ul></body></html>"""
 
 
-def test_extract_page():
-    found = extract_page(PAGE, "https://en.wikipedia.org/wiki/A_title", Selectors())
-    assert found["title"] == "A title"
-    assert [b.strip() for b in found["blocks"]] == ["First & more\nline", "Kept", "Second x y\nh again m none", "Thirdpart", ""]
-    assert found["categories"] == ["One cat", "Two"]
-    assert found["links"][:2] == ["https://en.wikipedia.org/wiki/Some_Page#part", "https://en.wikipedia.org/wiki/Caf%C3%A9?q=1"]
-    assert "21:30" in found["footer"]
+def pieces(spark, html, selectors=Selectors(), url="https://en.wikipedia.org/wiki/A_title"):
+    pages = spark.createDataFrame([(1, url, html)], "page_id bigint, url string, html string")
+    return extract_pieces(pages, selectors).first()
+
+
+def test_extract_page(spark):
+    found = pieces(spark, PAGE)
+    assert found.title == "A title"
+    assert [b.strip() for b in found.blocks] == ["First & more\nline", "Kept", "Second x y\nh again m none", "Thirdpart", ""]
+    assert found.categories == ["One cat", "Two"]
+    assert found.links[:2] == ["https://en.wikipedia.org/wiki/Some_Page#part", "https://en.wikipedia.org/wiki/Caf%C3%A9?q=1"]
+    assert "21:30" in found.footer and found.error is None
+
+
+def test_all_children_are_blocks_but_what_is_removed(spark):
+    html = """<article><h1>T</h1>loose text<h2>Bare</h2><table><tr><td>x</td></tr></table><h2>Next</h2><h3>Sub</h3>
+        <ul><li>one<li>two <div>box <b>in</b></div></ul><blockquote>said<script>no()</script></blockquote>
+        <section><h4>a</h4><h4>b</h4>body <a href="/kept">k</a><div><a href="/gone">g</a></div></section><script>own</script></article>"""
+    found = pieces(spark, html, Selectors(title="h1", content="article", removed=("h1", "table", "div")))
+    assert found.title == "T" and found.categories is None and found.footer is None
+    assert [" ".join(b.split()) for b in found.blocks] == ["Next", "Sub", "onetwo", "said", "bbody k", "own"]
+    assert found.links == ["https://en.wikipedia.org/kept"]
+    inner = pieces(spark, html, Selectors(title="h1", content="article", blocks="li", removed=()))
+    assert [" ".join(b.split()) for b in inner.blocks] == ["one", "two box in"]
+
+
+def test_selectors_by_class_attribute_and_child(spark):
+    html = """<div class='a big'><p id=p1 data-x=1>one</p><i><p data-x=2>two</p></i></div><div class=ab><p>three</p></div><p class="it's">four</p>"""
+    for selector, texts in ((".a p", ["one", "two"]), (".a > p", ["one"]), ("[data-x]", ["one", "two"]), ("p[data-x=2]", ["two"]),
+                            ("div p", ["one", "two", "three"]), ("#p1", ["one"]), ("*[class=ab] p", ["three"]), (".none", [])):
+        found = pieces(spark, f"<main>{html}</main>", Selectors(content="main", blocks=selector, removed=()))
+        assert found.blocks == texts, selector
+
+
+def test_deep_markup_keeps_its_text(spark):
+    html = "<main>" + "".join(f"<i>{k} " for k in range(3 * MAX_DEPTH)) + "</main>"
+    pages = spark.createDataFrame([(1, "http://a/", html), (2, "http://a/", "")], "page_id bigint, url string, html string")
+    nodes = {r.page_id: r.nodes for r in page_nodes(pages).collect()}
+    assert max(len(n.path) for n in nodes[1]) <= MAX_DEPTH + 1 and len(nodes[2]) == 1
+    assert pieces(spark, html, Selectors(content="main", removed=())).blocks[0].split() == [str(k) for k in range(3 * MAX_DEPTH)]
 
 
 def test_web_pages(spark):
@@ -88,8 +121,6 @@ def test_first_matching_rule_decides(spark):
 
 
 def test_bad_pages_end_no_job(spark):
-    from rankloom.operators.html import extract_pieces
-
     rows = [(1, "http://a/b", None), (2, "http://a/b", "<![foo"), (3, "http://a/b", "<h1>x"), (4, None, "")]
     got = {r.page_id: r for r in extract_pieces(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
     assert got[1].error == "no page" and got[3].error is None and len(got) == 4  # whether the second is an error is up to the parser
