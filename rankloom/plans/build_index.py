@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.operators import postings as po
@@ -65,3 +65,16 @@ def build_index(pages: DataFrame, path: str, arrival: str | None = None, stem: b
     if ranks:
         publish_ranks(docs, path, rank_epsilon)
     return serving.Index(spark, path)
+
+
+def rebuild_index(pages: DataFrame, path: str, **options) -> serving.Index:
+    """Build an index beside the ones published in ``path`` and switch to it last; options as in ``build_index``.
+
+    While it is built, and if the build fails, ``current_index`` opens the one before.
+    """
+    folder = serving.publish_version(pages.sparkSession, path, lambda to: build_index(pages, to, **options))
+    return serving.Index(pages.sparkSession, folder)
+
+
+def current_index(spark: SparkSession, path: str) -> serving.Index:
+    return serving.Index(spark, serving.current_version(spark, path))

@@ -590,5 +590,14 @@ ORACLE: dict[str, str] = {
             LEFT JOIN wiki_pages w ON w.doc_id = b.doc_id""", "hit_counts", "best", "wiki_pages"),
     "json_pointer_columns": """SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.k') AS k_fragment,
             NULL::VARCHAR AS inside, NULL::VARCHAR AS missing, json_extract_string(props, '$.k') AS nested FROM events""",
+    "stream_progress": _sql("""SELECT wave::BIGINT AS ingest_batch, n_arrived, coalesce(n_inserted, 0) AS n_inserted,
+            sum(coalesce(n_inserted, 0)) OVER (ORDER BY wave)::BIGINT AS n_total
+        FROM (SELECT wave, count(*) AS n_arrived FROM waves GROUP BY wave) LEFT JOIN (
+            SELECT wave, count(*) AS n_inserted FROM (SELECT title, min(wave) AS wave FROM waves WHERE content <> '' GROUP BY title)
+            GROUP BY wave) USING (wave)""", "raw_pages", extra={"waves": """
+        SELECT title, content, CASE categories[2] WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END AS wave FROM raw_pages"""}),
+    "versioned_publish": _sql("SELECT term, field_id, df FROM term_stats", "term_stats"),
+    "vocabulary_growth": _sql("""SELECT term AS token, count(*) AS n_occ, count(*) FILTER (w.categories[1] = 'src1') = 0 AS is_new
+        FROM words JOIN wiki_pages w USING (doc_id) GROUP BY term""", "words"),
     "stream_ingest": _sql("""SELECT title, min(arrival) AS arrival FROM raw_pages WHERE content <> '' GROUP BY title""", "raw_pages"),
 }

@@ -23,7 +23,7 @@ from rankloom.operators import results as rs
 from rankloom.operators.dedupe import first_wins, new_rows
 from rankloom.operators.html import extract_pieces
 from rankloom.operators.pages import complete_pages, last_modified, normalised_links
-from rankloom.operators.vocabulary import vocabulary
+from rankloom.operators.vocabulary import grown_vocabulary, vocabulary, written_vocabulary
 from rankloom.plans import views as v
 from rankloom.plans.batch_search import answer, answer_requests
 from rankloom.plans.build_index import document_links
@@ -157,6 +157,15 @@ def serving_lookup(spark, sf):
     return serving.lookup(stats, keys, "bucket", "term").select("term", "field_id", "df")
 
 
+@query
+def versioned_publish(spark, sf):
+    """Statistics published beside an earlier version, read from the one switched to last."""
+    stats, path = v.index(spark, sf).table("primary/term_stats").drop("bucket"), scratch_path(spark, "versions")
+    for part in (stats.filter("field_id = 0"), stats):
+        serving.publish_version(spark, path, lambda to, part=part: serving.publish_term_stats(part, to))
+    return spark.read.parquet(serving.current_version(spark, path)).select("term", "field_id", "df")
+
+
 @query
 def first_wins_dedupe(spark, sf):
     """One page per title, and whether it would be new to a table of the first source's pages."""
@@ -278,6 +287,14 @@ def vocabulary_stem(spark, sf):
     return vocabulary(po.clean_words(v.wiki_pages(spark, sf)))
 
 
+@query
+def vocabulary_growth(spark, sf):
+    """C4: words of all documents against a kept vocabulary of one source; only new ones are stemmed."""
+    docs = v.wiki_pages(spark, sf)
+    kept = written_vocabulary(po.clean_words(docs.filter(F.col("categories")[0] == "src1")))
+    return grown_vocabulary(po.clean_words(docs), kept).select("token", "n_occ", "is_new")
+
+
 @query
 def split_query(spark, sf):
     """F1, over the conversation turns as queries."""
@@ -696,3 +713,16 @@ def stream_ingest(spark, sf):
         wave.write.mode("append").parquet(source)
         ingest.ingest(ingest.page_stream(spark, source, pages.schema), target, marks, "arrival").awaitTermination()
     return spark.read.parquet(target).select("title", "arrival")
+
+
+@query
+def stream_progress(spark, sf):
+    """Counters of every batch of a stream that brings the documents by language."""
+    source, target, marks = (scratch_path(spark, n) for n in ("arriving", "ingested", "ingest-marks"))
+    pages, language = v.raw_pages(spark, sf), F.col("categories")[1]
+    wave = F.when(language == "en", 0).when(language == "de", 1).otherwise(2)
+    for n in range(3):
+        pages.filter(wave == n).write.mode("append").parquet(source)
+        arriving = ingest.page_stream(spark, source, pages.schema, files_per_batch=1_000_000)
+        ingest.ingest(arriving, target, marks, "arrival").awaitTermination()
+    return ingest.progress(spark, target).select(ingest.BATCH, "n_arrived", "n_inserted", "n_total")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +38,33 @@ def publish(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+VERSIONS, PUBLISHED = "versions", "published"
+_POINTER = "number bigint, folder string"
+
+
+def publish_version(spark: SparkSession, path: str, write: Callable[[str], object]) -> str:
+    """Fill a new folder below ``path`` by ``write``, then make it the current one; returns the folder.
+
+    The folders published are rows of a table that only grows, and the row is added last: until then, and if ``write``
+    fails, readers stay with the version before. Earlier versions are kept for readers that still have them open.
+    """
+    folder = f"{VERSIONS}/{uuid.uuid4().hex}"
+    # An empty table makes the first look-up possible.
+    spark.createDataFrame([], _POINTER).write.mode("ignore").parquet(f"{path}/{PUBLISHED}")
+    write(f"{path}/{folder}")
+    number = spark.read.schema(_POINTER).parquet(f"{path}/{PUBLISHED}").agg(F.coalesce(F.max("number"), F.lit(0)) + 1).first()[0]
+    spark.createDataFrame([(number, folder)], _POINTER).coalesce(1).write.mode("append").parquet(f"{path}/{PUBLISHED}")
+    return f"{path}/{folder}"
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder published last; of two that were published at once, the greater name."""
+    newest = spark.read.schema(_POINTER).parquet(f"{path}/{PUBLISHED}").agg(F.max(F.struct("number", "folder")).alias("newest")).first().newest
+    if newest is None:
+        raise LookupError(f"nothing is published in {path}")
+    return f"{path}/{newest.folder}"
+
+
 @dataclass(frozen=True)
 class Index:
     """Folder holding documents, doc_lengths, page_rank, layout, and postings with statistics per analyzer."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +14,7 @@ from rankloom.operators.pages import complete_pages
 from rankloom.sources.serving import lookup
 
 BATCH = "ingest_batch"
+_COUNTERS = "n_arrived bigint, n_inserted bigint, n_total bigint"
 
 
 def page_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 50,
@@ -43,7 +44,12 @@ def insert_batch(batch: DataFrame, batch_id: int, path: str, arrival: str) -> No
     new_rows(batch, known, ["title"], [arrival]).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
     batch.unpersist()
     n_inserted = spark.read.schema(batch.schema).parquet(f"{path}/{BATCH}={batch_id}").count()
-    spark.createDataFrame([(n_arrived, n_inserted)], "n_arrived bigint, n_inserted bigint").coalesce(1).write.mode("overwrite").parquet(
+    # An empty folder of its own makes the counters readable for the first batch.
+    spark.createDataFrame([], _COUNTERS).write.mode("ignore").parquet(f"{counters_path(path)}/{BATCH}=-1")
+    # Batches run one after another, so the total up to the one before is known; no row is added up twice.
+    before = progress(spark, path).filter(F.col(BATCH) < batch_id).agg(F.max(F.struct(BATCH, "n_total")).alias("last")).first().last
+    total = (before.n_total if before else 0) + n_inserted
+    spark.createDataFrame([(n_arrived, n_inserted, total)], _COUNTERS).coalesce(1).write.mode("overwrite").parquet(
         f"{counters_path(path)}/{BATCH}={batch_id}")
 
 
@@ -68,10 +74,4 @@ def progress(spark: SparkSession, path: str) -> DataFrame:
 
     Each batch writes its own counters, so one that runs again replaces them.
     """
-    return spark.read.schema(f"n_arrived bigint, n_inserted bigint, {BATCH} bigint").parquet(counters_path(path)).withColumn(
-        "n_total", F.sum("n_inserted").over(Window.orderBy(BATCH)))
-
-
-def committed(spark: SparkSession, path: str) -> DataFrame:
-    """(ingest_batch, n_pages) of the pages kept so far."""
-    return spark.read.parquet(path).groupBy(BATCH).agg(F.count("*").alias("n_pages"))
+    return spark.read.schema(f"{_COUNTERS}, {BATCH} bigint").parquet(counters_path(path))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.functions.stemmer import stem, stem_word
-from rankloom.operators.vocabulary import vocabulary, with_stems
+from rankloom.operators.vocabulary import grown_vocabulary, vocabulary, with_stems
 from rankloom.session import materialise
 
 # From the sample vocabulary and tables of the published algorithm.
@@ -46,3 +46,11 @@ def test_vocabulary_join_for_large_vocabularies(spark):
     large = with_stems(words, stems.hint("merge"))
     assert sorted(small.collect()) == sorted(large.select(*small.columns).collect())
     assert small.filter("term = 'run'").count() == words.filter("term = 'running'").count()
+
+
+def test_vocabulary_grows_by_new_words_only(spark):
+    words = spark.createDataFrame([(w,) for w in ["running", "running", "flies", "cats", "sky"]], "term string")
+    kept = spark.createDataFrame([("running", "kept as it was"), ("unused", "unus")], "token string, stem string")
+    grown = {r.token: (r.n_occ, r.stem, r.is_new) for r in grown_vocabulary(words, kept).collect()}
+    assert grown == {"running": (2, "kept as it was", False), "flies": (1, "fli", True), "cats": (1, "cat", True), "sky": (1, "sky", True)}
+    assert grown_vocabulary(words.limit(0), kept).count() == 0
