@@ -181,14 +181,32 @@ def _accepts(tag: str, conditions) -> str:
     return " AND ".join(fits)
 
 
+def _steps(selector: str) -> list[re.Match]:
+    return [step for step in _STEP.finditer(selector) if step.group(0).strip()]
+
+
+def _under(step: re.Match, scope: str) -> str:
+    """Test of the element ``node`` for the first step of a selector, below the place ``start``."""
+    test = _accepts(step["tag"], _CONDITION.findall(step["rest"]))
+    if step["child"]:
+        return f"({test} AND node.parent = start)"
+    return f"({test})" if scope == "0" else f"({test} AND array_contains(node.path, start))"
+
+
+def _matches_any(selectors: list[list[re.Match]], scope: str) -> str:
+    """For each node whether it matches one of the selectors of a single step, in one walk."""
+    test = " OR ".join(_under(step, scope) for step, in selectors) or "false"
+    return _bound(scope, "start", f"transform(nodes, node -> coalesce({test}, false))")
+
+
 def matches(selector: str, scope: str = "0") -> str:
     """For each node whether it matches tag, #id, .class, [attribute=value], blank and > steps below ``scope``."""
-    reached = _bound(scope, "start", "transform(nodes, node -> node.n = start)")
-    for step in _STEP.finditer(selector):
-        if step.group(0).strip():
-            above = "get(before, node.parent)" if step["child"] else "exists(node.path, place -> get(before, place))"
-            test = f"{_accepts(step['tag'], _CONDITION.findall(step['rest']))} AND {above}"
-            reached = _bound(reached, "before", f"transform(nodes, node -> coalesce({test}, false))")
+    first, *later = _steps(selector)
+    reached = _matches_any([[first]], scope)
+    for step in later:
+        above = "get(before, node.parent)" if step["child"] else "exists(node.path, place -> get(before, place))"
+        test = f"{_accepts(step['tag'], _CONDITION.findall(step['rest']))} AND {above}"
+        reached = _bound(reached, "before", f"transform(nodes, node -> coalesce({test}, false))")
     return reached
 
 
@@ -238,9 +256,10 @@ def extract_pieces(pages: DataFrame, selectors: Selectors = Selectors()) -> Data
     Title, blocks, categories and footer are null where an element is missing; a bad page has nothing but its error.
     Title, categories and footer are read from the whole page, blocks and links from what the removals leave.
     """
-    removed = "transform(nodes, node -> false)"
+    removed = _matches_any([steps for steps in map(_steps, selectors.removed) if len(steps) == 1], "content")
     for selector in selectors.removed:
-        removed = f"zip_with({removed}, {matches(selector, 'content')}, (a, b) -> a OR b)"
+        if len(_steps(selector)) > 1:
+            removed = f"zip_with({removed}, {matches(selector, 'content')}, (a, b) -> a OR b)"
     if selectors.blocks:
         blocks = _among(matches(selectors.blocks, "content"))
     else:

@@ -29,11 +29,13 @@ def last_modified(footer: Column, fallback: Column) -> Column:
     return F.coalesce(parsed, fallback.cast("timestamp_ntz"))
 
 
+def is_complete(title: Column, content: Column, categories: Column) -> Column:
+    return title.isNotNull() & (F.length(content) > 0) & (F.size(categories) > 0)
+
+
 def complete_pages(pages: DataFrame) -> DataFrame:
     """Pages with a title, some content and at least one category."""
-    return pages.filter(
-        F.col("title").isNotNull() & (F.length("content") > 0) & (F.size("categories") > 0)
-    )
+    return pages.filter(is_complete(F.col("title"), F.col("content"), F.col("categories")))
 
 
 def normalised_links(pages: DataFrame, key: str, host_pattern: str, path_pattern: str) -> DataFrame:
@@ -58,10 +60,11 @@ def web_pages(pages: DataFrame, ingest_ts: Column, selectors: Selectors = Select
               host_pattern: str = HOST_PATTERN, path_pattern: str = PATH_PATTERN) -> DataFrame:
     """(page_id, url, title, content, categories, last_modify, out_links) of complete pages."""
     pieces = extract_pieces(pages, selectors)
-    rows = pieces.select(
+    row = F.struct(
         "page_id", "url", jvm_trim(F.col("title")).alias("title"),
         joined_blocks(F.col("blocks")).alias("content"), "categories",
         last_modified(F.col("footer"), ingest_ts).alias("last_modify"),
         out_titles(F.col("links"), host_pattern, path_pattern).alias("out_links"),
     )
-    return complete_pages(rows)
+    # A row is made and judged in one place: a filter would be pushed below and make title, content and categories twice.
+    return pieces.select(F.inline(F.filter(F.array(row), lambda page: is_complete(page["title"], page["content"], page["categories"]))))
