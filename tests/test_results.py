@@ -1,13 +1,14 @@
 import json
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from rankloom.functions.highlight import _sentence_score, highlight, let, query_words, sentence_snippet
 from rankloom.functions.json_pointer import json_pointer
 from rankloom.operators.requests import METHODS, bad_method, parse_requests
-from rankloom.operators.results import fragment_snippets, paginate
+from rankloom.operators.results import fragment_snippet, fragment_snippets, paginate
 
 
 def one(spark, column):
@@ -105,3 +106,43 @@ def test_json_pointer(spark):
     odd = json.dumps({"*": 2, "": 4, "it's": [[1, [5]], {"0": "z"}]})
     for pointer, expected in {"/*": "2", "/": "4", "/it's/0/1/0": "5", "/it's/1/0": "z", "/it's/01": None}.items():
         assert one(spark, json_pointer(F.lit(odd), pointer)) == expected
+
+
+def fragments_by_word(text, keyword, chars):
+    """Windows from one word to the next, as plainly as they are defined."""
+    words = {w.lower() for w in keyword.split(" ") if w}
+    windows, at = {}, 0
+    for piece in re.findall(r"[^a-zA-Z0-9éİ]*[a-zA-Z0-9éİ]+", text):
+        lead, bare = re.fullmatch(r"([^a-zA-Z0-9éİ]*)(.*)", piece, re.S).groups()
+        at += len(piece)
+        line, hit = windows.setdefault(at // chars, ([], set()))
+        line.append(f"{lead}<B>{bare}</B>" if bare.lower() in words else piece)
+        hit |= {bare.lower()} & words
+    best = sorted((-len(hit), k, "".join(line)) for k, (line, hit) in windows.items() if hit)[:5]
+    return "... " + " ... ".join(re.sub("[ ]+", " ", re.sub("\r\n|\r|\n", " ", b[2])) for b in best) + " ..." if best else None
+
+
+def test_fragments_against_words(spark):
+    rng = random.Random(2)
+    words = ["fox", "FOX", "foxes", "x1", "é", "É", "İx", "a" * 60, "filler"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", ", ", "\n", "-", "  ", "$1 "]) for _ in range(rng.randrange(50))) for _ in range(300)]
+    rows = [(t.replace("É", "é"), rng.choice(["fox", "é x1", "fox, İx fox", "X1 filler FOX", "zz", "$1", ""])) for t in texts]
+    for chars in (100, 9):
+        got = spark.createDataFrame(rows, "t string, k string").select("t", "k", fragment_snippet(F.col("t"), F.col("k"), chars).alias("s")).collect()
+        assert [r.s for r in got] == [fragments_by_word(r.t, r.k, chars) for r in got]
+
+
+def test_fragments_take_a_few_passes_over_the_text(spark):
+    rows = spark.range(0, 400, 1, 8).select(F.repeat(F.concat(F.lit("some filler words of text with a fox and more of it "), F.col("id").cast("string"), F.lit(" ")), 300).alias("t")).cache()
+    rows.count()
+
+    def took(column):
+        best = []
+        for _ in range(2):
+            start = time.perf_counter()
+            rows.select(column.alias("c")).write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    cut = took(F.size(F.regexp_extract_all("t", F.lit(r"[^\p{L}\p{N}]*[\p{L}\p{N}]+"), F.lit(0))))
+    assert took(fragment_snippet(F.col("t"), F.lit("fox la"))) < 8 * cut
