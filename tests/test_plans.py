@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from check import normal
+from rankloom.operators import ids
 from rankloom.operators import postings as po
 from rankloom.operators import queries as qs
 from rankloom.operators import search as se
 from rankloom.operators.dedupe import first_wins
 from rankloom.plans import views
+from rankloom.plans.build_index import numbered_documents
 from rankloom.sources.serving import publish_postings
 
 SF = "/root/testdata/sf0.001"
@@ -70,3 +72,31 @@ def test_against_sql(spark, name):
 
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+
+
+
+
+
+def test_titles_alone_are_sorted_for_numbers(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(ids, "materialise", lambda df, name: written.append(df.columns) or df.cache())
+    docs = numbered_documents(views.raw_pages(spark, SF), "arrival")
+    assert written == [["title", "_mark"]] and docs.columns[-1] == "doc_id"
+    rows = docs.select("doc_id", "title").orderBy("doc_id").collect()
+    assert [r.doc_id for r in rows] == list(range(len(rows))) and [r.title for r in rows] == sorted(r.title for r in rows)
+
+
+def test_stored_pages_need_no_postings(spark, monkeypatch):
+    monkeypatch.setattr(views, "_built", {})
+    views.wiki_pages(spark, SF)
+    path = views.index(spark, SF, analyzers=()).path
+    assert sorted(os.listdir(path)) == ["doc_lengths", "documents", "layout"]
+    assert views.index(spark, SF, analyzers=("primary",)).path == path
+    assert sorted(os.listdir(path)) == ["doc_lengths", "documents", "layout", "primary"]
+
+
+def test_query_words_are_written_to_one_file(spark, docs):
+    posted = po.postings(docs).cache()
+    tables = se.IndexTables(posted, po.term_stats(posted), po.field_stats(po.doc_lengths(docs)))
+    asked = spark.createDataFrame([(i, "red fox cub") for i in range(8)], "query_id bigint, raw string").repartition(8)
+    assert len(se.weighted_slots(qs.query_slots(qs.split_queries(asked)), tables).inputFiles()) == 1
