@@ -74,8 +74,26 @@ def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
+def test_postings_are_grouped_inside_the_document(spark):
+    pages = views.raw_pages(spark, SF).withColumnRenamed("arrival", "doc_id")
+    for made in (po.postings, po.standard_postings):
+        text = plan(made(pages))
+        assert "collect_list(pos" not in text and "Generate posexplode" not in text and text.count("Exchange") == 1
+
+
+def test_rows_of_one_id_share_postings(spark):
+    rows = [(None, "red fox", "a fox", ["x"]), (None, "fox tail", "red, fox", None), (7, "red", None, ["x", None])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, title string, content string, categories array<string>").repartition(3)
+    got = {(r.term, r.field_id, r.doc_id): (r.tf, r.positions, r.doc_len) for r in po.postings(docs).collect()}
+    assert got == {("fox", 0, None): (2, [0, 1], 2), ("red", 0, None): (1, [0], 2), ("tail", 0, None): (1, [1], 2), ("fox", 1, None): (2, [1, 1], 2),
+                   ("red", 1, None): (1, [0], 2), ("x", 2, None): (1, [0], 1), ("red", 0, 7): (1, [0], 1), ("x", 2, 7): (1, [0], 1)}
 
 
+def test_posting_lists_shuffle_postings_once(spark, docs, tmp_path):
+    publish_postings(po.postings(docs), str(tmp_path / "p"))
+    text = plan(po.posting_lists(spark.read.parquet(str(tmp_path / "p")), 3))
+    assert text.count("Exchange") == 1 and "hashpartitioning(term" in text
+
 
 def test_titles_alone_are_sorted_for_numbers(spark, monkeypatch):
     written = []
