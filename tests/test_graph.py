@@ -64,3 +64,17 @@ def test_page_budget_ways_agree(spark):
     nodes = spark.range(300).select(F.col("id").alias("node"), (F.col("id") % 7).cast("int").alias("depth"))
     small, large = nodes.orderBy("depth", "node").limit(120), fr.page_budget(nodes, 120)
     assert sorted(small.collect()) == sorted(large.select(*small.columns).collect())
+
+
+def test_few_edges_take_one_task(spark, monkeypatch):
+    links = spark.createDataFrame([(i % 7, (3 * i + 1) % 11) for i in range(40)], "src bigint, dst bigint").distinct()
+    few = li.SlicedEdges.build(links)
+    assert few.edges.rdd.getNumPartitions() == 1
+    whole = ranks(pr.pagerank(links))
+    few.release()
+    monkeypatch.setattr(li, "EDGES_PER_TASK", 5)
+    many = li.SlicedEdges.build(links)
+    assert many.tasks > 1
+    many.release()
+    dealt = ranks(pr.pagerank(links))
+    assert dealt.keys() == whole.keys() and all(abs(dealt[n] - whole[n]) < 1e-12 for n in whole)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.highlight import _sentence_score, highlight, let, query_words, sentence_snippet
 from rankloom.functions.json_pointer import json_pointer
+from rankloom.functions.marking import sentence_score
 from rankloom.operators.requests import METHODS, bad_method, parse_requests
 from rankloom.operators.results import fragment_snippet, fragment_snippets, paginate
 
@@ -146,3 +147,30 @@ def test_fragments_take_a_few_passes_over_the_text(spark):
 
     cut = took(F.size(F.regexp_extract_all("t", F.lit(r"[^\p{L}\p{N}]*[\p{L}\p{N}]+"), F.lit(0))))
     assert took(fragment_snippet(F.col("t"), F.lit("fox la"))) < 8 * cut
+
+
+def test_sentence_scores_of_the_helper():
+    rng = random.Random(5)
+    for _ in range(2000):
+        text = "".join(rng.choice(["a", "b", "A", "ab", "x", " ", " ", "  "]) for _ in range(rng.randrange(40)))
+        query = rng.choice(["a", "a b", "a a ab", "x b a", "b", ""]).split()
+        n = [counted(text, w) for w in query]
+        assert sentence_score(text.lower().encode(), {w.encode(): query.count(w) for w in query}) == 20 * min(n, default=0) + sum(n), (text, query)
+
+
+def test_marking_a_page_takes_little_more_than_cutting_its_texts(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    text = F.repeat(F.concat(F.lit("Some filler, of word7 with a word8 fox; and word9 more of it, "), F.col("id").cast("string"), F.lit(". ")), 120)
+    rows = spark.range(0, 2000, 1, 4).select(text.alias("t")).cache()
+    rows.count()
+
+    def took(*columns):
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            rows.select(*columns).write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    cut = took(F.size(F.regexp_extract_all("t", F.lit("[^ ]+"), F.lit(0))))
+    assert took(sentence_snippet(F.col("t"), F.lit(words)), highlight(F.col("t"), F.lit(words), "span").alias("h")) < 4 * cut
