@@ -1,11 +1,14 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import CORPUS
+from rankloom.plans import batch_search, build_index as building
 from rankloom.plans.batch_search import answer_requests
 from rankloom.plans.build_index import build_index
+from rankloom.session import materialise, shared_dir, temporary_tables
 
 LINKS = {"red fox": ["fox red", "blue whale"], "fox red": ["blue whale"], "blue whale": ["red fox"],
          "red panda": ["blue whale", "green tea", "unknown"]}
@@ -58,3 +61,48 @@ def test_hot_request_is_answered_for_everyone(spark, index):
     assert len(found) == 60
     assert len({json.dumps(found[i], sort_keys=True) for i, r in enumerate(raws) if r == hot}) == 1
     assert found[1]["data"]["hits"] == 2 and found[0]["data"]["hits"] == 4
+
+
+def test_a_log_leaves_requests_and_responses_alone_also_in_portions(spark, index, monkeypatch):
+    raws = ["method=text&keyword=red+fox", "method=text&keyword=tea", "method=text&keyword=zzzz", "method=x&keyword=a", "method=text&keyword=red+fox&page=7"]
+    log = spark.createDataFrame(list(enumerate(raws)), "query_id bigint, raw string")
+    before = set(os.listdir(shared_dir(spark)))
+    whole = sorted(answer_requests(index, log, methods={"text": "text"}).collect())
+    left = {name.rpartition("-")[0] for name in set(os.listdir(shared_dir(spark))) - before}
+    assert len(whole) == 5 and left == {"requests", "asked", "hits", "shown", "responses"}
+    monkeypatch.setattr(batch_search, "SHOWN_ROWS", 3)
+    assert sorted(answer_requests(index, log, methods={"text": "text"}).collect()) == whole
+
+
+def test_postings_in_parts(spark, index, tmp_path, monkeypatch):
+    monkeypatch.setattr(building, "PART_CHARS", 4)
+    docs = index.table("documents")
+    building.publish_primary(docs, index.table("doc_lengths"), str(tmp_path), True, 4)
+    building.publish_standard(docs, str(tmp_path), 4)
+    for analyzer in ("primary", "standard"):
+        for table in ("postings", "term_stats", "field_stats"):
+            got, want = spark.read.parquet(f"{tmp_path}/{analyzer}/{table}"), index.table(f"{analyzer}/{table}")
+            assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    rows = spark.range(1000).withColumn("k", F.xxhash64("id")).repartition(4, "k")
+    assert materialise(rows, "rows").count() == 1000
+    assert shuffle_files(spark) <= before
+
+
+def test_temporary_tables(spark):
+    def there(df):
+        return os.path.exists(df.inputFiles()[0].removeprefix("file:"))
+
+    with temporary_tables(spark):
+        with temporary_tables(spark):
+            gone, kept = materialise(spark.range(3), "gone"), materialise(spark.range(4), "kept", kept=True)
+        assert kept.count() == 4 and not there(gone) and there(kept)
+    assert not there(kept)

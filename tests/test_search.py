@@ -5,6 +5,7 @@ from conftest import RANKS
 from rankloom.operators import postings as po
 from rankloom.operators import queries as qs
 from rankloom.functions.scoring import SearchParams
+from rankloom.operators import block_search as blocks
 from rankloom.operators import search as se
 from rankloom.operators.block_search import BlockSearch, match_stats
 from rankloom.operators.ranked_search import boolean_search, search
@@ -143,3 +144,34 @@ def test_blocks_agree_with_the_steps(spark, index):
     for r in match_stats(found).collect():
         own = [x for (q, _), x in want.items() if q == r.query_id]
         assert r.hits == len(own) and (r.low, r.high) == pytest.approx((min(own), max(own)), abs=1e-9)
+
+
+def test_portions_of_queries_agree_with_all_at_once(spark, docs, graph, monkeypatch):
+    raws = ["red fox", "tea", "red red fox cub", "hot tea category:drink", "zzzz", "fox red", ""]
+    tables_ = tables(docs, pagerank(graph).ranks.cache())
+    rows, hits = run(spark, tables_, raws, with_rank=True)
+    monkeypatch.setattr(blocks, "PORTION_WORDS", 10)
+    monkeypatch.setattr(blocks, "BROADCAST_WORDS", 0)
+    monkeypatch.setattr(blocks.BlockSearch.__init__, "__defaults__", (2,))
+    cut_rows, cut_hits = run(spark, tables_, raws, with_rank=True)
+    assert [r[:3] for r in cut_rows] == [r[:3] for r in rows] and cut_hits == hits
+    assert [r.total for r in cut_rows] == pytest.approx([r.total for r in rows], abs=1e-9)
+    assert [r.score for r in cut_rows] == [r.score for r in rows]
+
+
+def test_depth_cuts_what_blocks_give(spark, index):
+    asked = spark.createDataFrame([(0, "red fox"), (1, "tea")], "query_id bigint, raw string")
+    depths = spark.createDataFrame([(0, 2)], "query_id bigint, depth int")
+    found = BlockSearch(index, qs.query_slots(qs.split_queries(asked)), SearchParams(), block_docs=2).scores(depths, 1000).collect()
+    assert sorted((r.query_id, r.doc_id) for r in found if r.doc_id is not None) == [(0, 0), (0, 1), (1, 4), (1, 5)]
+    assert {r.query_id: r.hits for r in found if r.doc_id is None} == {0: 4, 1: 2}
+
+
+def test_queries_are_neither_shuffled_nor_paired_with_blocks(spark, index, monkeypatch):
+    written = []
+    keep = blocks.materialise
+    monkeypatch.setattr(blocks, "materialise", lambda df, name, **more: written.append((name, df)) or keep(df, name, **more))
+    run(spark, index, ["red fox", "tea"])
+    plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in written}
+    assert "query-blocks" not in plans and "words" not in plans["block-scores"]
+    assert "Aggregate" not in plans["fetched-postings"]
